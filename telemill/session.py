@@ -25,6 +25,8 @@ def build_session(app_name: str = "telemill", master: str | None = None, **extra
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # a repeated key in a probe document keeps its last value
+        "spark.sql.variant.allowDuplicateKeys": "true",
     } | extra
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -72,19 +72,22 @@ def take_files(files: DataFrame, limit: int | None = None, order: str = "oldest"
 
 def _decoded(content: bytes, path: str) -> Iterator[bytes]:
     """Decompressed chunks of one xz file, which may hold several streams."""
-    decoder = lzma.LZMADecompressor()
-    view, started = content, False
-    while True:
-        if decoder.eof:
-            rest = decoder.unused_data.lstrip(b"\0")
-            if not rest:
-                return
-            decoder, view = lzma.LZMADecompressor(), rest
-        elif started and decoder.needs_input:
-            raise lzma.LZMAError(f"truncated dump {path}")
-        started = True
-        yield decoder.decompress(view, max_length=_CHUNK)
-        view = b""
+    rest, first = content, True
+    while rest or first:
+        decoder, pending = lzma.LZMADecompressor(), rest
+        while not decoder.eof:
+            try:
+                chunk = decoder.decompress(pending, max_length=_CHUNK)
+            except lzma.LZMAError:
+                if first or pending == b"":
+                    raise
+                return  # bytes after the last whole stream that start no new one
+            pending = b""
+            if chunk:
+                yield chunk
+            if decoder.needs_input and not decoder.eof:
+                raise lzma.LZMAError(f"truncated dump {path}")
+        rest, first = decoder.unused_data, False
 
 
 def _file_lines(content: bytes, path: str) -> Iterator[tuple[int, str]]:
