@@ -69,11 +69,14 @@ def fill_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _fingerprint(df: DataFrame, key: str, columns: Sequence[str], name: str) -> DataFrame:
-    """(key, name): row count and order-free content sum of each key's rows."""
-    digest = F.conv(F.substring(F.md5(row_text(df, columns)), 1, 15), 16, 10).cast("decimal(38,0)")
-    content = F.struct(F.count("*").alias("n"), F.sum(digest).alias("sum"))
-    return df.select(key, digest.alias("_digest")).groupBy(key).agg(
-        F.struct(F.count("*").alias("n"), F.sum("_digest").alias("sum")).alias(name)
+    """(key, name): row count and order-free content sums (120 hash bits) of each key's rows."""
+
+    def part(start: int) -> Column:
+        return F.conv(F.substring("_md5", start, 15), 16, 10).cast("decimal(20,0)")
+
+    digests = df.select(key, F.md5(row_text(df, columns)).alias("_md5"))
+    return digests.groupBy(key).agg(
+        F.struct(F.count("*"), F.sum(part(1)), F.sum(part(16))).alias(name)
     )
 
 

@@ -56,10 +56,9 @@ class Lake:
 
     def commits(self) -> DataFrame:
         """The commit log of every table in the namespace."""
-        try:
-            return self.spark.read.schema(schemas.COMMITS).parquet(self._log_path())
-        except AnalysisException:
+        if not path_exists(self.spark, self._log_path()):
             return self.spark.createDataFrame([], schemas.COMMITS)
+        return self.spark.read.schema(schemas.COMMITS).parquet(self._log_path())
 
     def tables(self) -> DataFrame:
         """Names of the tables in the namespace, sorted."""
@@ -108,16 +107,15 @@ class Lake:
 
     def _stored_files(self) -> DataFrame:
         """(table, folder, path, bytes, modified_at) of every data file; reads no content."""
-        try:
-            stored = (
-                self.spark.read.format("binaryFile")
-                .option("recursiveFileLookup", "true")
-                .option("pathGlobFilter", "*.parquet")
-                .load(f"{self.root}/data")
-            )
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.root}/data"):
             empty = "table string, folder string, path string, bytes bigint, modified_at timestamp"
             return self.spark.createDataFrame([], empty)
+        stored = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(f"{self.root}/data")
+        )
         place = F.regexp_extract("path", r"/(data/([^/]+)/.*)/[^/]+$", 1)
         return stored.select(
             F.regexp_extract(place, "^data/([^/]+)/", 1).alias("table"),
@@ -164,6 +162,15 @@ class Lake:
             for row in sorted(rows)
         ]
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """A frame written once and read back: computed once, and cut from its lineage.
+
+        The folder belongs to no version, so orphan removal clears it later.
+        """
+        folder = f"{self.root}/data/staged_{name}/{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     def _commit(
         self,
         table: str,
@@ -214,12 +221,14 @@ class Lake:
         key: str = "job_id",
         cursor: tuple[str, str] | None = None,
         run_id: str | None = None,
+        unique: bool = False,
         **commit: datetime,
     ) -> int | None:
         """Update matched keys, insert the others; returns the new version.
 
         ``cursor`` is (column, kind); its largest value is saved with the commit.
-        A source without rows commits nothing.
+        A source without rows commits nothing. ``unique`` skips the choice of one
+        row per key for a source that is known to hold one.
         """
         head = self.head(table)
         current = T.StructType.fromJson(json.loads(head.table_schema)) if head else None
@@ -229,7 +238,8 @@ class Lake:
         watched = source.observe(
             seen, F.count_if(F.col(key).isNull()).alias("null_keys"), top.alias("top")
         )
-        staged = self._write(latest_per_key(watched, key, cursor[0] if cursor else None), table, key)
+        chosen = watched if unique else latest_per_key(watched, key, cursor[0] if cursor else None)
+        staged = self._write(chosen, table, key)
         if seen.get["null_keys"]:
             raise NullKeyError(f"{table}: {seen.get['null_keys']} row(s) without {key}")
         if not staged:
@@ -406,6 +416,11 @@ def orphan_files(stored: DataFrame, referenced: DataFrame, cutoff: datetime | Co
     return stored.filter(F.col("modified_at") < cutoff).join(named, ["table", "folder"], "left_anti")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 

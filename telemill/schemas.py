@@ -10,8 +10,23 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal": T.DecimalType(38, 9),
+    "variant": T.VariantType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """A row type from ``name type, ...`` without needing a session."""
+    pairs = (item.split() for item in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 JOB_INFO = _struct(
@@ -20,7 +35,7 @@ JOB_INFO = _struct(
 )
 
 TRACE = _struct(
-    "job_id bigint, aliencpuefficiency decimal(38,9), cputime decimal(38,9), host string, "
+    "job_id bigint, aliencpuefficiency decimal, cputime decimal, host string, "
     "maxrss bigint, cpuefficiency string, finaltimestamp bigint, masterjobid bigint, pid bigint, "
     "requestedcpus int, requestedttl bigint, runningtimestamp bigint, savingtimestamp bigint, "
     "startedtimestamp bigint, walltime int, maxvirt bigint, site string, "
@@ -34,11 +49,13 @@ PROBE = _struct(
     "last_updated bigint, test_results_json variant"
 )
 
+PART = _struct("bucket bigint, path string, records bigint")
+
 COMMITS = _struct(
     "table string, snapshot_id bigint, sequence_number bigint, committed_at timestamp, "
     "operation string, path string, total_records bigint, cursor_kind string, cursor_value string, "
-    "run_id string, table_schema string, parts array<struct<bucket:bigint,path:string,records:bigint>>"
-)
+    "run_id string, table_schema string"
+).add("parts", T.ArrayType(PART))
 
 FILES = _struct("table string, path string, referenced boolean, modified_at timestamp")
 

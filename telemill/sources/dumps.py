@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed pattern: a dump link in a directory listing, and its generation time.
 DUMP_LINK = r'href="([^"]*?site-sonar-(\d+)\.out\.xz)"'
@@ -16,7 +15,7 @@ DUMP_NAME = r"site-sonar-(\d+)\.out\.xz$"
 
 _CHUNK = 1 << 22
 _BATCH_BYTES = 16 << 20
-_LINES = T.StructType.fromDDL("path string, line_no bigint, line string")
+_LINES = "path string, line_no bigint, line string"
 
 
 def resolve_link(base_url: Column, href: Column) -> Column:
