@@ -34,6 +34,15 @@ _JDL_MAP = T.MapType(T.StringType(), T.StringType())
 _AUTHORITY_TYPE = T.StructType([T.StructField("jdl", _JDL_MAP)])
 
 
+def _once(column: Column) -> Column:
+    """The same value, computed where it stands.
+
+    A filter above a decode would otherwise be pushed below it with the whole parse
+    copied into it. Filters on other columns belong before the decode for the same reason.
+    """
+    return F.when(F.rand(0) >= 0, column)
+
+
 def _strict(df: DataFrame, body: Column, out: str, literal: bool = False) -> DataFrame:
     """Add ``out``: the body parsed as one complete JSON value, or NULL.
 
@@ -52,14 +61,15 @@ def _strict(df: DataFrame, body: Column, out: str, literal: bool = False) -> Dat
         text = F.concat(F.lit("["), body, F.lit(',{"seal":"'), seal, F.lit('"}]'))
         kind = _JDL_MAP
         tail = F.element_at(F.get("_items", 1), "seal")
-    parsed = df.withColumns({"_seal": seal, "_items": F.from_json(text, T.ArrayType(kind), _STRICT)})
+    items = _once(F.from_json(text, T.ArrayType(kind), _STRICT))
+    parsed = df.withColumns({"_seal": seal, "_items": items})
     sealed = (F.size("_items") == 2) & (tail == F.col("_seal"))
     return parsed.withColumn(out, F.when(sealed, F.get("_items", 0))).drop("_seal", "_items")
 
 
 def json_object(df: DataFrame, text: str, out: str) -> DataFrame:
     """Strict JSON object decode of one text column into a map column."""
-    return _strict(df, F.col(text), out).withColumn(out, last_value_wins(F.col(out)))
+    return _strict(df, F.col(text), out).withColumn(out, _once(last_value_wins(F.col(out))))
 
 
 def last_value_wins(entries: Column) -> Column:
@@ -133,7 +143,7 @@ def _authority(literal: bool):
             maps = [d and {clean(k): clean(v) for k, v in d.items()} for d in decoded]
             yield pd.DataFrame({"jdl": pd.Series(maps, dtype=object)})
 
-    return check
+    return check.asNondeterministic()
 
 
 def decode_jdl(df: DataFrame, column: str = "full_jdl", exact_tokens: bool = True) -> DataFrame:
@@ -157,15 +167,15 @@ def decode_jdl(df: DataFrame, column: str = "full_jdl", exact_tokens: bool = Tru
         work = work.withColumn("_checked", _authority(not binary)(F.col("_suspect"))["jdl"])
         checked = F.when(F.col("_suspect").isNotNull(), F.col("_checked"))
         work = work.withColumn("_direct", checked.otherwise(F.col("_direct")))
-    work = work.withColumn("_direct", last_value_wins(F.col("_direct")))
-    work = work.withColumn("_jdl", merge_case_variants(F.col("_direct")))
+    work = work.withColumn("_ok", F.col("_direct").isNotNull())
+    work = work.withColumn("_direct", _once(last_value_wins(F.col("_direct"))))
+    work = work.withColumn("_jdl", _once(merge_case_variants(F.col("_direct"))))
     kept = [c for c in df.columns if c != column]
-    ok = F.col("_jdl").isNotNull()
     return work.select(
         *kept,
         F.col("_jdl").alias("jdl"),
-        ok.alias("jdl_parse_ok"),
-        F.when(~ok, raw).alias("full_jdl_raw"),
+        F.col("_ok").alias("jdl_parse_ok"),
+        F.when(~F.col("_ok"), raw).alias("full_jdl_raw"),
     )
 
 
