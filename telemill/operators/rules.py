@@ -16,22 +16,24 @@ FAILED = ("Failed", "Error")
 MAX_GAP_HOURS = {"nightly": 26, "dumps": 26, "maintenance": 8 * 24}
 
 
-def step_counts(runs: DataFrame, step: str, failed: Column) -> DataFrame:
+def step_counts(runs: DataFrame, step_s: int, failed: Column) -> DataFrame:
     """(name, step_start, n): failures per step."""
-    start = F.window("event_time", step)["start"]
+    start = F.window("event_time", f"{step_s} seconds")["start"]
     return runs.filter(failed).groupBy("name", start.alias("step_start")).agg(F.count("*").alias("n"))
 
 
-def increase_over(counts: DataFrame, span: str, step: str, at_least: int) -> DataFrame:
-    """(name, at, increase, breached) at each step end where the count over ``span`` is not zero."""
-    frame = F.window("step_start", span, step)
-    total = counts.groupBy("name", frame.alias("w")).agg(F.sum("n").alias("increase"))
-    return total.select(
-        "name",
-        F.col("w.end").alias("at"),
-        "increase",
-        (F.col("increase") >= at_least).alias("breached"),
-    )
+def increase_over(counts: DataFrame, span_s: int, step_s: int, at_least: int) -> DataFrame:
+    """(name, at, increase, breached) at each step end where the count over the span is not zero.
+
+    Each step is counted for the ``span_s / step_s`` step ends that see it; only the
+    counts are repeated, never the events.
+    """
+    step = F.make_dt_interval(secs=F.lit(step_s))
+    last = F.col("step_start") + F.make_dt_interval(secs=F.lit(span_s))
+    ends = F.explode(F.sequence(F.col("step_start") + step, last, step))
+    total = counts.select("name", ends.alias("at"), "n").groupBy("name", "at")
+    summed = total.agg(F.sum("n").alias("increase"))
+    return summed.withColumn("breached", F.col("increase") >= at_least)
 
 
 def absent(schedules: DataFrame, runs: DataFrame, now: Column) -> DataFrame:

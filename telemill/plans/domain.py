@@ -272,7 +272,7 @@ SELECT user_id AS host_id, 'wn' || lpad((user_id % 200 + 1)::VARCHAR, 4, '0') AS
 FROM events WHERE event_type = 'signup'""",
     "starts": """
 SELECT event_id AS job_id, 'wn' || lpad((user_id % 200 + 1)::VARCHAR, 4, '0') AS host,
-  epoch_ms(ts) AS startedtimestamp
+  epoch_us(ts) // 1000 AS startedtimestamp
 FROM events WHERE event_type = 'error'""",
     "commits": """
 SELECT CASE event_type WHEN 'signup' THEN 'job_info' WHEN 'view' THEN 'trace'
