@@ -27,8 +27,8 @@ CANONICAL_KEY = "LPMPassName"
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
 
 # Fixed pattern, searched only in values that are numbers, lists or objects (or
-# look like one): exponents, 9+ decimals, overflow to infinity, surrogate escapes.
-_SUSPECT = r"[0-9]E-?[0-9]|[0-9]\.[0-9]{9}|Infinity|\\u[dD][89a-fA-F]"
+# look like one): exponents, 9+ decimals, overflow to infinity, unicode escapes.
+_SUSPECT = r"[0-9]E-?[0-9]|[0-9]\.[0-9]{9}|Infinity|\\u"
 
 _JDL_MAP = T.MapType(T.StringType(), T.StringType())
 _AUTHORITY_TYPE = T.StructType([T.StructField("jdl", _JDL_MAP)])
@@ -150,7 +150,7 @@ def decode_jdl(df: DataFrame, column: str = "full_jdl", exact_tokens: bool = Tru
     """Replace ``column`` by ``jdl``, ``jdl_parse_ok`` and ``full_jdl_raw``.
 
     ``exact_tokens=False`` leaves out the Arrow check, for feeds whose values are
-    known to hold no exponents, very long numbers, NaN/Infinity or surrogates.
+    known to hold no exponents, very long numbers, NaN/Infinity or nested escapes.
     Binary texts must be UTF-8 and are never read as a string-literal body.
     """
     binary = isinstance(df.schema[column].dataType, T.BinaryType)

@@ -64,17 +64,17 @@ def drift(live: DataFrame, contract: DataFrame) -> DataFrame:
     ``informational``: any other unknown live column.
     ``subtractive``: a column the view selects that is not live.
     """
-    keys = ["table", "column"]
-    served = contract.select("table").distinct()
-    unknown = live.join(served, "table", "left_semi").join(
-        contract.select(*keys), keys, "left_anti"
+    served = F.broadcast(contract.select("table").distinct())
+    both = (
+        live.join(served, "table", "left_semi")
+        .withColumn("_live", F.lit(True))
+        .join(contract.withColumn("_known", F.lit(True)), ["table", "column"], "full_outer")
     )
-    kind = F.when(F.col("column").startswith(PREFIX), "additive").otherwise("informational")
-    extra = unknown.select(*keys, "type", kind.alias("kind"))
-    missing = contract.filter("selected").join(live.select(*keys), keys, "left_anti")
-    return extra.unionByName(
-        missing.select(*keys, F.lit(None).cast("string").alias("type"), F.lit("subtractive").alias("kind"))
+    extra = F.when(F.col("column").startswith(PREFIX), "additive").otherwise("informational")
+    kind = F.when(F.col("_known").isNull(), extra).when(
+        F.col("_live").isNull() & F.col("selected"), "subtractive"
     )
+    return both.select("table", "column", "type", kind.alias("kind")).filter("kind IS NOT NULL")
 
 
 def drift_verdict(differences: DataFrame, strict: bool = False) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemill.session import spread
+
 
 class Given:
     """The given Parquet tables of one scale folder."""
@@ -57,7 +59,7 @@ class Given:
     @property
     def mon_jdls(self) -> DataFrame:
         """JDL texts in every encoding the decoder must handle, chosen by the id."""
-        return self.events.select(
+        return spread(self.events, "event_id").select(
             F.col("event_id").alias("job_id"),
             F.concat(F.lit("LPMJT_"), F.lpad((F.col("event_id") % 15 + 1).cast("string"), 3, "0")).alias(
                 "lpmjobtypeid"
@@ -75,7 +77,7 @@ class Given:
                 F.array("lang").alias("InputData"),
             )
         )
-        return self.documents.select(
+        return spread(self.documents, "doc_id").select(
             F.col("doc_id").alias("job_id"),
             F.when(F.col("doc_id") % 2 == 0, clean).otherwise(escaped(clean)).alias("full_jdl"),
         )

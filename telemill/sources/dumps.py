@@ -86,7 +86,7 @@ def _decoded(content: bytes, path: str) -> Iterator[bytes]:
                 yield chunk
             if decoder.needs_input and not decoder.eof:
                 raise lzma.LZMAError(f"truncated dump {path}")
-        rest, first = decoder.unused_data, False
+        rest, first = decoder.unused_data.lstrip(b"\0"), False  # stream padding
 
 
 def _file_lines(content: bytes, path: str) -> Iterator[tuple[int, str]]:
