@@ -64,7 +64,7 @@ def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str) -> DataF
     """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns."""
     base = decoded.withColumn("full_jdl", F.lit(None).cast("string"))
     flat = flatten_jdl(base, keys)
-    lineage = with_lineage(flat, load_id)
+    lineage = with_lineage(flat, load_id, "job_id")
     jdl = sorted(spellings(keys))
     head = ["job_id", "lpmjobtypeid", "full_jdl", "jdl_parse_ok", "full_jdl_raw"]
     return lineage.select(*head, "_dlt_load_id", "_dlt_id", *jdl)

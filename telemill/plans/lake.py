@@ -159,7 +159,7 @@ class Lake:
         rows = written.groupBy(BUCKET).count().collect()
         return [
             Row(bucket=row[BUCKET], path=f"{base}/{BUCKET}={row[BUCKET]}", records=row["count"])
-            for row in sorted(rows)
+            for row in sorted(rows, key=lambda row: (row[BUCKET] is None, row[BUCKET]))
         ]
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:

@@ -117,8 +117,7 @@ def schema_evolution(given: Given) -> DataFrame:
 
 @query(
     """SELECT l_orderkey AS job_id, l_linenumber, l_partkey FROM lineitem
-    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC,
-      md5('{"job_id":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}')) = 1"""
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey) = 1"""
 )
 def one_row_per_key(given: Given) -> DataFrame:
     return latest_per_key(given.children, "job_id", "l_linenumber")

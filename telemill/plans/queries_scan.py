@@ -395,7 +395,7 @@ def _contract_jdl_sql() -> str:
     columns += [
         "o.lpmjobtypeid AS _src_lpmjobtypeid", "CAST(NULL AS VARCHAR) AS full_jdl",
         "o.doc IS NOT NULL AS jdl_parse_ok", "CASE WHEN o.doc IS NULL THEN o.full_jdl END AS full_jdl_raw",
-        "'load-1' AS _dlt_load_id",
+        "'load-1' AS _dlt_load_id", "sha256('load-1|' || o.job_id) AS _dlt_id",
     ]
     columns += [f"CAST(NULL AS VARCHAR) AS jdl__{name}" for name in contract.EXTRA_JDL]
     values = ", ".join(f"{_value(key)} AS \"{key}\"" for key in sorted(present))
@@ -412,12 +412,9 @@ def contract_jobs(given: Given) -> DataFrame:
 
 @query(_contract_jdl_sql())
 def contract_jdls(given: Given) -> DataFrame:
-    """All 67 contract columns (two of them typed NULLs) and the passthrough tail.
-
-    The row id hashes the whole row and has no plain SQL form: it is left out here.
-    """
+    """All 67 contract columns (two of them typed NULLs) and the passthrough tail."""
     parsed = jobs.parsed_table(decode_jdl(given.mon_jdls), jobs._served_keys(), "load-1")
-    return contract.project(parsed, contract.MON_JDLS_PARSED).drop("_dlt_id")
+    return contract.project(parsed, contract.MON_JDLS_PARSED)
 
 
 def _live_columns(given: Given) -> DataFrame:

@@ -128,7 +128,7 @@ def test_expiry_never_drops_the_head(spark, lake):
 def test_empty_namespace(spark, lake):
     now = datetime.now(timezone.utc)
     assert jobs.run_maintenance(lake, now).count() == 0
-    assert {r.table: r.removed for r in jobs.run_upkeep(lake, now).collect()} == {"total": None}
+    assert jobs.run_upkeep(lake, now).count() == 0
     assert jobs.exit_code(jobs.check_freshness(lake, now)) == 1
 
 
