@@ -51,9 +51,9 @@ def old_jdls(mon_jdls: DataFrame, job_info: DataFrame, cutoff: datetime) -> Data
     """
     ids = mon_jdls.select("job_id").distinct()
     parents = job_info.select("job_id", "last_update", F.lit(True).alias("has_parent"))
-    joined = ids.join(parents, "job_id", "left").crossJoin(F.broadcast(_oldest_parent(job_info)))
+    joined = ids.join(parents, "job_id", "left")
     old = F.col("last_update") < naive_literal(cutoff)
-    orphan = F.col("has_parent").isNull() & (F.col("job_id") < F.col("floor"))
+    orphan = F.col("has_parent").isNull() & (F.col("job_id") < _oldest_parent(job_info).scalar())
     return joined.filter(old | orphan).select("job_id").distinct()
 
 
@@ -96,10 +96,9 @@ def deletable_jdls(
 def outcome(table: str, checked: DataFrame, deleted_rows: DataFrame) -> DataFrame:
     """(table, kept, deleted, unverified): rows deleted, distinct keys kept for lack of proof."""
     missing = F.count_if(~F.col("verified"))
-    keys = checked.agg(missing.alias("kept"), missing.alias("unverified"))
-    rows = deleted_rows.agg(F.count("*").alias("deleted"))
-    return keys.crossJoin(F.broadcast(rows)).select(
-        F.lit(table).alias("table"), "kept", "deleted", "unverified"
+    rows = deleted_rows.agg(F.count("*")).scalar()
+    return checked.agg(missing.alias("kept"), missing.alias("unverified")).select(
+        F.lit(table).alias("table"), "kept", rows.alias("deleted"), "unverified"
     )
 
 

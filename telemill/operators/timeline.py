@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def carried_seeds(per_bucket: DataFrame, key: str, value: str) -> DataFrame:
@@ -23,6 +24,16 @@ def carried_seeds(per_bucket: DataFrame, key: str, value: str) -> DataFrame:
     return per_bucket.withColumn(value, carried).filter(F.col(value).isNotNull())
 
 
+def _spread_hash(df: DataFrame) -> Column:
+    """A repeatable hash of the row, for salting; the same on every task attempt."""
+    plain = [
+        field.name
+        for field in df.schema
+        if not isinstance(field.dataType, (T.MapType, T.VariantType))
+    ]
+    return F.xxhash64(*plain)
+
+
 def asof_join(
     facts: DataFrame,
     probes: DataFrame,
@@ -31,44 +42,64 @@ def asof_join(
     probe_time: str,
     probe_columns: Sequence[str],
     bucket: int,
+    facts_per_group: int = 1_000_000,
 ) -> DataFrame:
     """Each fact with the latest probe of its key strictly before it; unmatched facts stay.
 
     ``fact_time`` and ``probe_time`` are integers of the same unit, ``bucket`` is a
     bucket's length in that unit. Probes at equal times are ordered by their columns,
     so the result is deterministic. Adds ``probe_<time>`` and the probe columns.
+
+    Skew: probes are folded to one per (key, time), so a group holds at most
+    ``bucket`` of them; a group with more than ``facts_per_group`` facts is split by a
+    hash of the fact, and only its few probes are repeated.
     """
-    payload = F.struct(F.col(probe_time).alias("_t"), *probe_columns)
-    placed_facts = facts.withColumns(
+    probe = F.struct(F.col(probe_time).alias("_t"), *probe_columns)
+    folded = (
+        probes.filter(F.col(key).isNotNull() & F.col(probe_time).isNotNull())
+        .groupBy(key, F.col(probe_time).alias("_at"))
+        .agg(F.max(probe).alias("_probe"))
+        .withColumn("_bucket", F.expr(f"_at div {bucket}L"))
+    )
+    probe_type = folded.schema["_probe"].dataType
+    placed = facts.withColumns(
         {
             "_bucket": F.expr(f"`{fact_time}` div {bucket}L"),
             "_at": F.col(fact_time),
             "_is_probe": F.lit(0),
+            "_hash": _spread_hash(facts),
         }
     )
-    placed_probes = probes.select(
-        F.col(key),
-        F.expr(f"`{probe_time}` div {bucket}L").alias("_bucket"),
-        F.col(probe_time).alias("_at"),
-        F.lit(1).alias("_is_probe"),
-        payload.alias("_probe"),
-    ).filter(F.col(key).isNotNull() & F.col("_at").isNotNull())
-    per_bucket = (
-        placed_facts.select(key, "_bucket", F.lit(None).cast(placed_probes.schema["_probe"].dataType).alias("_probe"))
-        .unionByName(placed_probes.select(key, "_bucket", "_probe"))
-        .groupBy(key, "_bucket")
-        .agg(F.max("_probe").alias("_probe"))
+    marks = placed.select(
+        key, "_bucket", F.lit(None).cast(probe_type).alias("_probe"), F.lit(1).alias("_n")
+    ).unionByName(folded.select(key, "_bucket", "_probe", F.lit(0).alias("_n")))
+    per_bucket = marks.groupBy(key, "_bucket").agg(
+        F.max("_probe").alias("_probe"), F.sum("_n").alias("_n")
+    )
+    salts = F.ceil(F.col("_n") / facts_per_group)
+    hot = per_bucket.filter(F.col("_n") > facts_per_group).select(key, "_bucket", salts.alias("_salts"))
+    seeds = carried_seeds(per_bucket.drop("_n"), key, "_probe").withColumn(
+        "_at", F.lit(None).cast("bigint")
+    )
+    one = F.coalesce("_salts", F.lit(1))
+    # facts without key or time match nothing: any group does
+    free = F.col(key).isNull() | F.col("_at").isNull()
+    salted_facts = placed.join(hot, [key, "_bucket"], "left").withColumn(
+        "_salt", F.pmod("_hash", F.when(free, 4096).otherwise(one))
     )
-    seeds = carried_seeds(per_bucket, key, "_probe").select(
-        key, "_bucket", F.lit(None).cast("bigint").alias("_at"), F.lit(1).alias("_is_probe"), "_probe"
+    repeated = (
+        folded.unionByName(seeds.select(folded.columns))
+        .withColumn("_is_probe", F.lit(1))
+        .join(hot, [key, "_bucket"], "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), one - 1)))
     )
-    rows = placed_facts.unionByName(
-        placed_probes.unionByName(seeds), allowMissingColumns=True
+    rows = salted_facts.drop("_hash", "_salts").unionByName(
+        repeated.drop("_salts"), allowMissingColumns=True
     )
     # seeds (no time) first; at equal times facts come before probes: strictly before
     upto = (
-        Window.partitionBy(key, "_bucket")
-        .orderBy(F.col("_at").asc_nulls_first(), "_is_probe", F.col("_probe").asc_nulls_first())
+        Window.partitionBy(key, "_bucket", "_salt")
+        .orderBy(F.col("_at").asc_nulls_first(), "_is_probe")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = rows.withColumn("_found", F.last("_probe", ignorenulls=True).over(upto))

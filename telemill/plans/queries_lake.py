@@ -559,8 +559,8 @@ def upkeep_sequence(given: Given) -> DataFrame:
     later = datetime.now(timezone.utc) + timedelta(days=30)
     jobs.run_upkeep(store, later, keys={})
     versions = store.commits().groupBy("table").agg(F.count("*").alias("versions"))
-    rows = store.read("site_sonar").agg(F.count("*").alias("rows"))
-    return versions.crossJoin(F.broadcast(rows)).select("table", "rows", "versions")
+    rows = store.read("site_sonar").agg(F.count("*")).scalar()
+    return versions.select("table", rows.alias("rows"), "versions")
 
 
 # ---- composed jobs ----------------------------------------------------------------------------------

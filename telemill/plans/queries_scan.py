@@ -138,8 +138,7 @@ def files_read_once(given: Given) -> DataFrame:
     """Two runs, the first with a limit: every file is read exactly once."""
     files = dumps.list_dumps(listing_pages(given))
     first = dumps.take_files(files, 40)
-    mark = F.broadcast(dumps.next_mark(first, 0))
-    second = files.join(mark, F.col("epoch") > F.col("mark")).drop("mark")
+    second = files.filter(F.col("epoch") > dumps.next_mark(first, 0).scalar())
     return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
 
 

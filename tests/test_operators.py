@@ -15,15 +15,15 @@ from telemill.plans import lake
 from telemill.streaming import ingest
 
 
-@pytest.mark.parametrize("bucket", [7, 1000])
-def test_asof_equals_brute_force_with_a_hot_host(spark, bucket):
+@pytest.mark.parametrize("bucket, split", [(7, 1_000_000), (1000, 1_000_000), (1000, 10), (50, 3)])
+def test_asof_equals_brute_force_with_a_hot_host(spark, bucket, split):
     rng = random.Random(bucket)
     hosts = ["hot"] * 6 + ["a", "b", None]
     facts = [(i, rng.choice(hosts), rng.randrange(200) if rng.random() < 0.95 else None) for i in range(400)]
     found = [(rng.choice(hosts), rng.randrange(200), i) for i in range(150)]
     f = spark.createDataFrame(facts, "id long, host string, at long")
     p = spark.createDataFrame(found, "host string, seen long, n long")
-    got = {r.id: (r.probe_seen, r.n) for r in timeline.asof_join(f, p, "host", "at", "seen", ["n"], bucket).collect()}
+    got = {r.id: (r.probe_seen, r.n) for r in timeline.asof_join(f, p, "host", "at", "seen", ["n"], bucket, split).collect()}
     assert len(got) == len(facts)
     for i, host, at in facts:
         before = [(s, n) for h, s, n in found if host is not None and h == host and at is not None and s < at]
