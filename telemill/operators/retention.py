@@ -25,7 +25,9 @@ def millis(moment: datetime) -> int:
 
 
 def naive_literal(moment: datetime) -> Column:
-    return F.lit(moment.replace(tzinfo=None).isoformat()).cast("timestamp_ntz")
+    """A naive timestamp literal; an aware moment is taken in UTC."""
+    utc = moment.astimezone(timezone.utc) if moment.tzinfo else moment
+    return F.lit(utc.replace(tzinfo=None).isoformat()).cast("timestamp_ntz")
 
 
 def old_jobs(job_info: DataFrame, cutoff: datetime) -> DataFrame:

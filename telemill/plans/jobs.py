@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telemill import contract
@@ -15,6 +15,7 @@ from telemill.functions.names import PREFIX
 from telemill.operators import retention
 from telemill.operators.drift import contract_rows, drift, drift_verdict, schema_rows
 from telemill.operators.keys import latest_per_key, with_lineage
+from telemill.operators.probes import not_late
 from telemill.operators.quality import (
     CORE_TABLES,
     MAX_AGE_HOURS,
@@ -118,6 +119,18 @@ def _staged_jdls(lake: Lake, fresh: DataFrame, run_id: str) -> DataFrame:
 # ---- probe dumps --------------------------------------------------------------------
 
 
+DUMP_CURSOR = "epoch,last_updated"
+
+
+def dump_marks(lake: Lake, table: str) -> tuple[int, int | None]:
+    """(newest file read, newest row seen); the first run has no row cursor."""
+    saved = lake.cursor(table)
+    if saved is None:
+        return 0, None
+    epoch, row = saved.split(",")
+    return int(epoch), int(row) if row else None
+
+
 def run_dumps(
     lake: Lake,
     files: DataFrame,
@@ -125,21 +138,29 @@ def run_dumps(
     limit: int | None = None,
     order: str = "oldest",
     table: str = "site_sonar",
+    drop_late: bool = True,
 ) -> DataFrame:
-    """List, filter, limit, read, append; the mark is committed together with the rows.
+    """List, filter, limit, read, append; both marks are committed together with the rows.
 
-    ``files`` is (epoch, url) of dumps on shared storage.
+    ``files`` is (epoch, url) of dumps on shared storage. With ``drop_late``, rows older
+    than the newest row of earlier runs are left out; a first run keeps all rows.
     """
-    mark = int(lake.cursor(table) or 0)
+    mark, newest = dump_marks(lake, table)
     chosen = dumps.take_files(dumps.newer_than(files, mark), limit, order).collect()
-    listed = files.count()
+    listed, top = files.count(), mark
     if chosen:
+        top = max(mark, *(row.epoch for row in chosen))
         content = dumps.load_content(lake.spark, [row.url for row in chosen])
         rows = dumps.probe_rows(dumps.dump_lines(content))
-        top = max(mark, *(row.epoch for row in chosen))
-        lake.append(table, rows, cursor=("epoch", str(top)), run_id=run_id)
-    else:
-        top = mark
+        rows = not_late(rows, newest if drop_late else None)
+        seen = Observation()
+        rows = rows.observe(seen, F.max("last_updated").alias("top"))
+
+        def marks() -> tuple[str, str]:
+            known = [value for value in (newest, seen.get["top"]) if value is not None]
+            return DUMP_CURSOR, f"{top},{max(known) if known else ''}"
+
+        lake.append(table, rows, cursor=marks, run_id=run_id)
     return lake.spark.createDataFrame(
         [(listed, len(chosen), mark, top, 0)],
         "listed bigint, read bigint, mark_before bigint, mark_after bigint, exit_code int",

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -266,11 +266,14 @@ class Lake:
         self,
         table: str,
         source: DataFrame,
-        cursor: tuple[str, str] | None = None,
+        cursor: tuple[str, str] | Callable[[], tuple[str, str]] | None = None,
         run_id: str | None = None,
         **commit: datetime,
     ) -> int | None:
-        """Add rows. ``cursor`` is (kind, value); a run that already committed adds nothing."""
+        """Add rows; a run that already committed adds nothing.
+
+        ``cursor`` is (kind, value), or a function that gives it once the rows are written.
+        """
         if run_id is not None and self.already_done(table, run_id):
             return None
         head = self.head(table)
@@ -280,7 +283,8 @@ class Lake:
         if not added and cursor is None:
             return None
         parts = (list(head.parts) if head else []) + added
-        return self._commit(table, head, APPEND, parts, schema, cursor, run_id, **commit)
+        saved = cursor() if callable(cursor) else cursor
+        return self._commit(table, head, APPEND, parts, schema, saved, run_id, **commit)
 
     def delete(self, table: str, doomed: DataFrame, key: str = "job_id", **commit: datetime) -> int:
         """Remove the rows whose key is in ``doomed``; returns how many rows went."""

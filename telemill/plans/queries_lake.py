@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +18,10 @@ from telemill.plans import jobs, lake
 from telemill.plans.domain import SQL, Given, ctes, decoded_sql
 from telemill.plans.export import write_counted
 from telemill.plans.lake import Lake
+from telemill.plans.queries_scan import PER_FILE, dump_contents
 from telemill.plans.registry import query
 from telemill.session import scratch
-from telemill.sources import cursors
+from telemill.sources import cursors, dumps
 from telemill.streaming import ingest
 
 CUTOFF = datetime(1998, 3, 1)
@@ -722,6 +726,40 @@ def export_job(given: Given) -> DataFrame:
     )
 
 
+def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for item in batch.to_pylist():
+            store, place = fs.FileSystem.from_uri(item["target"])
+            store.create_dir(place.rsplit("/", 1)[0])
+            with store.open_output_stream(place) as out:
+                out.write(item["content"])
+        yield batch.select(["target"])
+
+
+def stored_dumps(given: Given, folder: str) -> DataFrame:
+    """(epoch, url) of the events' dump files, written to shared storage by the executors."""
+    root = folder if ":" in folder else f"file://{folder}"
+    files = dump_contents(given).select(F.concat(F.lit(f"{root}/"), "path").alias("target"), "content")
+    files.mapInArrow(_store, "target string").count()
+    return dumps.dump_files(given.spark, folder)
+
+
+@query(
+    f"""WITH f AS (SELECT DISTINCT event_id // {PER_FILE} AS f FROM events),
+    first AS (SELECT max(last_s) AS row FROM (SELECT floor(epoch(ts))::BIGINT AS last_s FROM events
+      WHERE event_id // {PER_FILE} < 5))
+    SELECT user_id AS host_id, floor(epoch(ts))::BIGINT AS last_updated, event_type AS ce_name
+    FROM events, first WHERE event_id // {PER_FILE} < 5 OR floor(epoch(ts))::BIGINT >= first.row"""
+)
+def dump_job(given: Given) -> DataFrame:
+    """Two runs over stored files, the first over five: rows late for the second are left out."""
+    store = new_lake(given, "dumps")
+    files = stored_dumps(given, f"{store.root}/feed")
+    jobs.run_dumps(store, files, "run-1", limit=5)
+    jobs.run_dumps(store, files, "run-2")
+    return store.read("site_sonar").select("host_id", "last_updated", "ce_name")
+
+
 # ---- streams ------------------------------------------------------------------------------------------
 
 

@@ -160,9 +160,9 @@ def dump_contents(given: Given) -> DataFrame:
             F.col("event_type").alias("ce_name"),
             F.lit("192.0.2.1").alias("addr"),
             F.unix_seconds(F.col("ts").cast("timestamp")).alias("last_updated"),
-            F.struct(F.struct(F.col("event_type").alias("NAME"), (event % 7).alias("EXITCODE")).alias("os")).alias(
-                "test_results_json"
-            ),
+            F.struct(F.struct(F.col("event_type").alias("NAME"), (event % 7).alias("EXITCODE")).alias("os"),
+                F.array(F.col("event_type"), (event % 7).cast("string")).alias("devices"),
+            ).alias("test_results_json"),
         )
     )
     line = (
@@ -199,6 +199,17 @@ def dump_line_report(given: Given) -> DataFrame:
     return dumps.line_report(dumps.dump_lines(dump_contents(given)))
 
 
+@query(
+    """SELECT 'wn' || user_id AS hostname, floor(epoch(ts))::BIGINT AS last_updated, idx::INTEGER AS idx,
+    CASE idx WHEN 0 THEN event_type ELSE (event_id % 7)::VARCHAR END AS value
+    FROM events, (VALUES (0), (1)) v(idx)"""
+)
+def probe_children(given: Given) -> DataFrame:
+    """A list inside the drifting test results as a child table."""
+    rows = dumps.probe_rows(dumps.dump_lines(dump_contents(given)))
+    return dumps.test_children(rows, "$.devices")
+
+
 # ---- schema and file metadata ---------------------------------------------------------
 
 _TABLES = ("orders", "lineitem", "events", "pages", "documents")

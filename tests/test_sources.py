@@ -98,7 +98,23 @@ def test_dump_job_reads_each_file_once(spark, tmp_path):
     assert (second["read"], second.mark_after) == (1, 300)
     assert jobs.run_dumps(lake, files, "r3").collect()[0]["read"] == 0
     assert lake.read("site_sonar").count() == 15
-    assert lake.cursor("site_sonar") == "300"
+    assert lake.cursor("site_sonar") == "300,404"
+
+
+def test_late_rows_are_left_out_after_the_first_run(spark, tmp_path):
+    lake = Lake(spark, scratch(spark, "dumps"))
+
+    def run(epoch, ids, run_id, **how):
+        name = tmp_path / f"site-sonar-{epoch}.out.xz"
+        name.write_bytes(lzma.compress("\n".join(probe(i) for i in ids).encode()))
+        jobs.run_dumps(lake, dumps.dump_files(spark, str(tmp_path)), run_id, **how)
+        return sorted(r.host_id for r in lake.read("site_sonar").collect())
+
+    assert run(1, [5, 1], "a") == [1, 5]
+    assert run(2, [4, 5, 9], "b") == [1, 5, 5, 9]
+    assert run(3, [2], "c") == [1, 5, 5, 9]
+    assert run(4, [2], "d", drop_late=False) == [1, 2, 5, 5, 9]
+    assert lake.cursor("site_sonar") == "4,109"
 
 
 def test_start_values():
