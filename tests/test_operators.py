@@ -168,3 +168,14 @@ def test_streamed_failures_equal_the_batch_rule(spark, tmp_path):
     query.start().awaitTermination()
     got = {(r.name, r["at"], r.increase) for r in spark.table("failures").select("name", F.col("at").cast("timestamp_ntz").alias("at"), "increase").collect()}
     assert got == {(r.name, r["at"], r.increase) for r in batch.collect()}
+
+
+def test_a_hot_key_is_cut_before_the_shuffle(spark):
+    from telemill.operators.keys import latest_per_key
+
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, 0, id) AS job_id", "id AS c", "'x' AS v")
+    best = latest_per_key(rows, "job_id", "c")
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert best.filter("job_id = 0").collect()[0].c == 19_998
+    assert best.count() == rows.select("job_id").distinct().count()
