@@ -19,6 +19,8 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
+        # naive and zoned times are compared in UTC, whoever made the session
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return self.run(Given(spark, folder))
 
 
