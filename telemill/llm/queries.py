@@ -125,16 +125,16 @@ WITH lines AS (
   FROM documents
 ), shown AS (
   SELECT doc_id, n, raw, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line,
-         row_number() OVER (PARTITION BY doc_id ORDER BY n) AS at
+         row_number() OVER (PARTITION BY doc_id ORDER BY n) AS k
   FROM lines WHERE trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
 ), windows AS (
-  SELECT doc_id, at, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
-  FROM shown WINDOW w AS (PARTITION BY doc_id ORDER BY at)
+  SELECT doc_id, k, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
+  FROM shown WINDOW w AS (PARTITION BY doc_id ORDER BY k)
 ), later AS (
-  SELECT doc_id, at FROM windows WHERE c IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, at) > 1
+  SELECT doc_id, k FROM windows WHERE c IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) > 1
 ), gone AS (
-  SELECT DISTINCT s.doc_id, s.n FROM later l JOIN shown s ON s.doc_id = l.doc_id AND s.at BETWEEN l.at AND l.at + 2
+  SELECT DISTINCT s.doc_id, s.n FROM later l JOIN shown s ON s.doc_id = l.doc_id AND s.k BETWEEN l.k AND l.k + 2
 ), kept AS (
   SELECT l.doc_id, string_agg(l.raw, chr(10) ORDER BY l.n) AS text
   FROM lines l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.n = l.n GROUP BY l.doc_id
@@ -146,7 +146,7 @@ LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id) r USI
 
 SQL["op10_substring_dedup"] = r"""
 WITH docs AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM docs)
@@ -168,7 +168,7 @@ LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM covered GROUP BY doc_id) r
 SQL["op5_line_quality"] = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS l,
-         list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w
+         list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
   FROM documents
 ), grams AS (
   SELECT doc_id, i, (w[i], w[i + 1], w[i + 2]) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM texts)
@@ -177,8 +177,8 @@ WITH texts AS (
 ), repeats AS (
   SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
 ), rules AS (
-  SELECT *, regexp_replace(t, '[ \t\n\x0B\f\r]', '', 'g') AS bare, list_filter(l, x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS shown,
-    list_filter(l, x -> NOT (regexp_matches(x, '[^ \t\n\x0B\f\r]') AND (
+  SELECT *, regexp_replace(t, '[ \t\n\x0B\f\r]', '', 'g') AS bare, list_filter(l, lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS shown,
+    list_filter(l, lambda x: NOT (regexp_matches(x, '[^ \t\n\x0B\f\r]') AND (
       regexp_matches(x, '@NAVIGATION@') OR regexp_matches(x, '@BOILERPLATE@') OR regexp_matches(x, '@PUNCTUATION@')
       OR (length(regexp_replace(x, '\P{L}', '', 'g')) >= 20
           AND length(regexp_replace(x, '\P{Lu}', '', 'g')) > length(regexp_replace(x, '\P{L}', '', 'g')) * 0.7)))) AS clean
