@@ -56,12 +56,6 @@ proxy_ttl run3_chunk runanalysisqc split_max_input_file_number subjob_count thin
 tpcscalingsource trackqcfraction ttl_optimization_type ttl_scaling usethrottling
 """.split()
 
-# Keys whose generated values are not simply the key name.
-CANONICAL_FIXTURE_KEYS = """
-TTL CPUCores CPULimit Executable JobTag User PWG Packages CollisionSystem Requirements MemorySize
-LPMPassName
-""".split()
-
 # Known on any lake table without being part of a contract.
 LOAD_COLUMNS = ("_dlt_load_id", "_dlt_id")
 HELPER_COLUMNS = ("jdl_parse_ok", "full_jdl_raw", "full_jdl")

@@ -166,8 +166,8 @@ def dump_contents(given: Given) -> DataFrame:
         )
     )
     line = (
-        F.when(event % 50 == 0, F.concat(F.lit("not json at all {{{\n"), doc))
-        .when(event % 50 == 1, F.concat(F.lit('{"unterminated": \n\n'), doc))
+        F.when(event % 50 == 0, F.concat(F.lit("<html>502 bad gateway</html>\n"), doc))
+        .when(event % 50 == 1, F.concat(F.lit('{"host_id": 12, "addr":\n\n'), doc))
         .otherwise(doc)
     )
     path = F.concat(
@@ -512,17 +512,33 @@ def old_traces(given: Given) -> DataFrame:
 # ---- generated rows ---------------------------------------------------------------------------
 
 _NOW = "2026-07-15T00:00:00"
-_GENERATED = """
-SELECT o_orderkey AS job_id,
-  TIMESTAMP '2026-07-15' - to_days((o_orderkey % 30)::INTEGER) - to_hours(o_orderkey * 7 % 24) AS moment FROM orders
-"""
+
+
+def _draw(name: str, span: int) -> str:
+    return f"(('0x' || substr(md5('{name}:' || job_id), 1, 8))::BIGINT % {span})"
+
+
+def _hundredths(name: str, span: int) -> str:
+    return f"CAST({_draw(name, span)} / 100.0 AS DECIMAL(38,2))"
+
+
+def _one_of(name: str, values: tuple[str, ...]) -> str:
+    return f"{list(values)}[{_draw(name, len(values))} + 1]"
+
+
+def _life() -> str:
+    moment = f"1784073600 - {_draw('age', generator.MAX_AGE_DAYS * 86_400)}"
+    moments = [f"({moment}) AS submitted"]
+    for name, longest in generator.STRETCHES.items():
+        moment += f" + {_draw(name, longest)}"
+        moments.append(f"({moment}) AS {name}")
+    return f"SELECT job_id, {', '.join(moments)} FROM (SELECT o_orderkey AS job_id FROM orders)"
 
 
 @query(
-    f"""SELECT job_id, true AS jdl_set, job_id % 20 <> 0 AS trace_set,
-    ['DONE','ERROR_V','ERROR_E','RUNNING','SAVED','KILLED'][job_id % 6 + 1] AS status,
-    (epoch(moment) - job_id % 6 * 3600)::BIGINT AS job_submit_timestamp, moment AS last_update,
-    'GRID::SITE_' || lpad((job_id % 25 + 1)::VARCHAR, 2, '0') AS site FROM ({_GENERATED})"""
+    f"""SELECT job_id, {_draw('jdl_set', 50)} > 0 AS jdl_set, {_draw('trace_set', 25)} > 0 AS trace_set,
+    {_one_of('status', generator.STATES)} AS status, submitted::BIGINT AS job_submit_timestamp,
+    make_timestamp((settle * 1000000)::BIGINT) AS last_update, 'site-' || {_draw('site', 40)} AS site FROM ({_life()})"""
 )
 def generated_jobs(given: Given) -> DataFrame:
     ids = given.orders.select(F.col("o_orderkey").alias("job_id"))
@@ -530,33 +546,47 @@ def generated_jobs(given: Given) -> DataFrame:
 
 
 @query(
-    f"""SELECT job_id, 'wn' || lpad((job_id % 200 + 1)::VARCHAR, 4, '0') || '.site.grid' AS host,
-    ((epoch(moment) - job_id % 5 * 3600) * 1000)::BIGINT AS startedtimestamp,
-    ((epoch(moment) - job_id % 3 * 3600) * 1000)::BIGINT AS finaltimestamp,
-    (epoch(moment) * 1000)::BIGINT AS laststatuschangetimestamp,
-    job_id % 5 * 1800 + 3600 AS requestedttl FROM ({_GENERATED})"""
+    f"""SELECT job_id, {_hundredths('grid efficiency', 10_001)}::DECIMAL(38,9) AS aliencpuefficiency,
+    {_hundredths('cpu time', 9_000_000)}::DECIMAL(38,9) AS cputime, 'node' || {_draw('host', 300)} || '.example.org' AS host,
+    {_draw('maxrss', 4_000_000)} AS maxrss, {_hundredths('cpu efficiency', 10_001)}::VARCHAR AS cpuefficiency,
+    (save * 1000)::BIGINT AS finaltimestamp, job_id - {_draw('master', 1_000)} AS masterjobid,
+    {_draw('pid', 4_194_303)} + 1 AS pid, (1 << {_draw('cpus', 5)})::INTEGER AS requestedcpus,
+    {_draw('ttl', 96)} * 900 AS requestedttl, (setup * 1000)::BIGINT AS runningtimestamp,
+    (run * 1000)::BIGINT AS savingtimestamp, (queued * 1000)::BIGINT AS startedtimestamp,
+    {_draw('run', generator.STRETCHES['run'])}::INTEGER AS walltime, {_draw('maxvirt', 9_000_000)} AS maxvirt,
+    'site-' || {_draw('site', 40)} AS site, (settle * 1000)::BIGINT AS laststatuschangetimestamp FROM ({_life()})"""
 )
 def generated_traces(given: Given) -> DataFrame:
     ids = given.orders.select(F.col("o_orderkey").alias("job_id"))
-    rows = generator.trace_rows(ids, F.lit(_NOW).cast("timestamp_ntz"))
-    return rows.select(
-        "job_id", "host", "startedtimestamp", "finaltimestamp", "laststatuschangetimestamp", "requestedttl"
-    )
+    return generator.trace_rows(ids, F.lit(_NOW).cast("timestamp_ntz"))
+
+
+def _jdl_values() -> str:
+    texts = [
+        f"'{key}=' || " + (
+            f"array_to_string([chr(34) || 'pkg@' || i || chr(34) for i in range({_draw('packages', 3)} + 1)], ',')"
+            if key == "Packages" else f"'{key[:3]} ' || ({_draw('jdl', 1_000_000)} + {place})"
+        )
+        for place, key in enumerate(generator.jdl_keys())
+    ]
+    return f"[{', '.join(texts)}]"
 
 
 @query(
-    """SELECT o_orderkey AS job_id, o_orderkey NOT IN (501, 502) AS jdl_parse_ok,
-    CASE WHEN o_orderkey NOT IN (501, 502) THEN (o_orderkey % 5 * 600 + 3600)::VARCHAR END AS jdl__ttl,
-    CASE WHEN o_orderkey NOT IN (501, 502) THEN 'pass' || (o_orderkey % 3 + 1) END AS jdl__lpm_pass_name,
-    CASE WHEN o_orderkey NOT IN (501, 502)
-      THEN '["Pack::v-2026' || lpad((o_orderkey % 12 + 1)::VARCHAR, 2, '0') || '01-1"]' END AS jdl__packages,
-    CASE WHEN o_orderkey NOT IN (501, 502) THEN 'nkeep_' || o_orderkey END AS jdl__nkeep FROM orders"""
+    f"""SELECT job_id, 'type ' || {_draw('type', 20)} AS lpmjobtypeid, odd > 1 AS jdl_parse_ok,
+    CASE WHEN odd > 1 THEN {len(generator.jdl_keys())} ELSE 0 END AS keys,
+    CASE WHEN odd > 1 THEN md5(array_to_string({_jdl_values()}, chr(10))) END AS digest
+    FROM (SELECT o_orderkey AS job_id, {_draw('oddness', generator.ODD_IN).replace('job_id', 'o_orderkey')} AS odd FROM orders)"""
 )
 def generated_jdls(given: Given) -> DataFrame:
-    """All 102 keys generated, decoded again."""
+    """All keys generated and decoded again; a digest of every key and value of a job."""
     ids = given.orders.select(F.col("o_orderkey").alias("job_id"))
     decoded = decode_jdl(generator.mon_jdls_rows(ids))
-    flat = flatten_jdl(decoded, ["TTL", "LPMPassName", "Packages", "nkeep"])
-    return flat.select(
-        "job_id", "jdl_parse_ok", "jdl__ttl", "jdl__lpm_pass_name", "jdl__packages", "jdl__nkeep"
+    pairs = [F.concat_ws("=", F.lit(key), F.btrim(F.element_at("jdl", key), F.lit("[]"))) for key in generator.jdl_keys()]
+    return decoded.select(
+        "job_id",
+        "lpmjobtypeid",
+        "jdl_parse_ok",
+        F.coalesce(F.size(F.map_keys("jdl")), F.lit(0)).alias("keys"),
+        F.when(F.col("jdl_parse_ok"), F.md5(F.concat_ws("\n", *pairs).cast("binary"))).alias("digest"),
     )

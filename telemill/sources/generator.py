@@ -1,8 +1,10 @@
-"""Deterministic landing rows for any set of job ids, by modular arithmetic only.
+"""Repeatable landing rows for any set of job ids.
 
-Every value depends on the id and a fixed moment, never on randomness or row order,
-so a rerun or a replayed task gives the same rows. Age follows ``id % 30``: old and
-young ids interleave.
+Each value is drawn from a hash of the column's name and the id, so a rerun or a replayed task
+gives the same rows whatever their order, and columns do not follow each other. The times of a
+job come from one life: it is submitted, waits, is set up, runs and is saved, and each stretch
+has a length of its own. ``tests`` and SQL draw with the same rule: the first eight hex digits of
+``md5('<name>:<id>')``, modulo the span.
 """
 
 from __future__ import annotations
@@ -12,121 +14,117 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.contract import CANONICAL_FIXTURE_KEYS, EXTRA_JDL, JDL_KEYS, UNSERVED_KEYS
+from telemill.contract import EXTRA_JDL, JDL_KEYS, UNSERVED_KEYS
 
-# Fixed values of the generated rows.
-STATUSES = ("DONE", "ERROR_V", "ERROR_E", "RUNNING", "SAVED", "KILLED")
-GROUPS = ("PWGPP", "PWGZZ", "PWGCF", "PWGHF")
-SYSTEMS = ("pp", "PbPb", "pPb")
-LEGACY_KEY = "LPMPASSNAME"
+STATES = ("WAITING", "RUNNING", "DONE", "FAILED")
+PASS_KEY, LEGACY_KEY = "LPMPassName", "LPMPASSNAME"
+#: name -> seconds at most, in the order of a job's life
+STRETCHES = {"queued": 14_400, "setup": 900, "run": 90_000, "save": 1_800, "settle": 120}
+MAX_AGE_DAYS = 45
+ODD_IN = 200
 
 
-def pick(values: Sequence[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def drawn(name: str, job: Column, span: int) -> Column:
+    """A number from 0 to span - 1 that depends on the name and the id alone."""
+    digest = F.md5(F.concat(F.lit(f"{name}:"), job.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % span
 
 
-def padded(prefix: str, number: Column, width: int, suffix: str = "") -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"), F.lit(suffix))
+def one_of(name: str, job: Column, values: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (drawn(name, job, len(values)) + 1).cast("int"))
 
 
-def noise(job_id: Column, salt: int, span: int) -> Column:
-    """A repeatable stand-in for a random number below ``span``."""
-    return F.pmod(job_id * 7919 + salt * 104_729, F.lit(span))
+def hundredths(name: str, job: Column, span: int) -> Column:
+    return (drawn(name, job, span) / 100).cast("decimal(38,2)")
 
 
-def _moment(job_id: Column, now: Column) -> Column:
-    days, hours = F.pmod(job_id, F.lit(30)), F.pmod(job_id * 7, F.lit(24))
-    return now - F.make_dt_interval(days.cast("int"), hours.cast("int"))
+def life(job: Column, now: Column) -> dict[str, Column]:
+    """Seconds since 1970 of each moment of a job, later ones never before earlier ones."""
+    at = F.unix_seconds(now.cast("timestamp")) - drawn("age", job, MAX_AGE_DAYS * 86_400)
+    moments = {"submitted": at}
+    for name, longest in STRETCHES.items():
+        at = at + drawn(name, job, longest)
+        moments[name] = at
+    return moments
 
 
-def _epoch(moment: Column) -> Column:
-    return F.unix_seconds(moment.cast("timestamp"))
-
-
-def job_info_rows(ids: DataFrame, now: Column, site: str = "GRID::SITE_") -> DataFrame:
+def job_info_rows(ids: DataFrame, now: Column) -> DataFrame:
     """``job_info`` rows for a frame with a ``job_id`` column; ``now`` is naive."""
     job = F.col("job_id")
-    moment = _moment(job, now)
+    moments = life(job, now)
     return ids.select(
         "job_id",
-        F.lit(True).alias("jdl_set"),
-        (job % 20 != 0).alias("trace_set"),
-        pick(STATUSES, job % 6).alias("status"),
-        (_epoch(moment) - (job % 6) * 3600).alias("job_submit_timestamp"),
-        moment.alias("last_update"),
-        padded(site, job % 25 + 1, 2).alias("site"),
+        (drawn("jdl_set", job, 50) > 0).alias("jdl_set"),
+        (drawn("trace_set", job, 25) > 0).alias("trace_set"),
+        one_of("status", job, STATES).alias("status"),
+        moments["submitted"].alias("job_submit_timestamp"),
+        F.timestamp_seconds(moments["settle"]).cast("timestamp_ntz").alias("last_update"),
+        F.concat(F.lit("site-"), drawn("site", job, 40).cast("string")).alias("site"),
     )
 
 
-def trace_rows(ids: DataFrame, now: Column, site: str = "GRID::SITE_", domain: str = ".site.grid") -> DataFrame:
+def trace_rows(ids: DataFrame, now: Column) -> DataFrame:
     """``trace`` rows; all five timestamps are epoch milliseconds."""
     job = F.col("job_id")
-    seconds = _epoch(_moment(job, now))
-    percent = ((noise(job, 1, 5001) + 5000) / 100).cast("decimal(38,9)")
-    cpu = ((noise(job, 2, 3_600_001) + 10_000) / 100).cast("decimal(38,9)")
+    millis = {name: moment * 1000 for name, moment in life(job, now).items()}
     return ids.select(
         "job_id",
-        percent.alias("aliencpuefficiency"),
-        cpu.alias("cputime"),
-        padded("wn", job % 200 + 1, 4, domain).alias("host"),
-        (job % 500_000 + 200_000).alias("maxrss"),
-        ((noise(job, 3, 5001) + 5000) / 100).cast("decimal(10,2)").cast("string").alias("cpuefficiency"),
-        ((seconds - (job % 3) * 3600) * 1000).alias("finaltimestamp"),
-        (job + 90_000_000).alias("masterjobid"),
-        (job % 50_000 + 10_000).alias("pid"),
-        (job % 8 + 1).cast("int").alias("requestedcpus"),
-        ((job % 5) * 1800 + 3600).alias("requestedttl"),
-        ((seconds - (job % 5) * 3600 - 600) * 1000).alias("runningtimestamp"),
-        ((seconds - (job % 3) * 3600 - 120) * 1000).alias("savingtimestamp"),
-        ((seconds - (job % 5) * 3600) * 1000).alias("startedtimestamp"),
-        (noise(job, 4, 36_001) + 100).cast("int").alias("walltime"),
-        (job % 800_000 + 400_000).alias("maxvirt"),
-        padded(site, job % 25 + 1, 2).alias("site"),
-        (seconds * 1000).alias("laststatuschangetimestamp"),
+        hundredths("grid efficiency", job, 10_001).cast("decimal(38,9)").alias("aliencpuefficiency"),
+        hundredths("cpu time", job, 9_000_000).cast("decimal(38,9)").alias("cputime"),
+        F.concat(F.lit("node"), drawn("host", job, 300).cast("string"), F.lit(".example.org")).alias("host"),
+        drawn("maxrss", job, 4_000_000).alias("maxrss"),
+        hundredths("cpu efficiency", job, 10_001).cast("string").alias("cpuefficiency"),
+        millis["save"].alias("finaltimestamp"),
+        (job - drawn("master", job, 1_000)).alias("masterjobid"),
+        (drawn("pid", job, 4_194_303) + 1).alias("pid"),
+        F.pow(F.lit(2), drawn("cpus", job, 5)).cast("int").alias("requestedcpus"),
+        (drawn("ttl", job, 96) * 900).alias("requestedttl"),
+        millis["setup"].alias("runningtimestamp"),
+        millis["run"].alias("savingtimestamp"),
+        millis["queued"].alias("startedtimestamp"),
+        drawn("run", job, STRETCHES["run"]).cast("int").alias("walltime"),
+        drawn("maxvirt", job, 9_000_000).alias("maxvirt"),
+        F.concat(F.lit("site-"), drawn("site", job, 40).cast("string")).alias("site"),
+        millis["settle"].alias("laststatuschangetimestamp"),
     )
 
 
-def _derived_keys() -> list[str]:
-    served = [key for key in JDL_KEYS if key not in UNSERVED_KEYS and key not in CANONICAL_FIXTURE_KEYS]
-    return sorted(served) + sorted(EXTRA_JDL)
-
-
-def jdl_text(job: Column, year: int = 2026, all_keys: bool = True) -> Column:
-    """A clean JDL; odd ids spell the pass-name key in the legacy case."""
-    month = F.lpad((job % 12 + 1).cast("string"), 2, "0")
-    package = F.concat(F.lit(f"Pack::v-{year}"), month, F.lit("01-1"))
-    fields: list[tuple[Column | str, Column]] = [
-        ("TTL", ((job % 5) * 600 + 3600).cast("string")),
-        ("CPUCores", (job % 8 + 1).cast("string")),
-        ("CPULimit", F.concat((job % 8 + 1).cast("string"), F.lit(".0"))),
-        ("Executable", F.lit("/grid/bin/run")),
-        ("JobTag", F.lit(f"prod_{year}")),
-        ("User", F.lit("daq")),
-        ("PWG", pick(GROUPS, job % 4)),
-        ("CollisionSystem", pick(SYSTEMS, job % 3)),
-        ("Requirements", F.lit('member(other.Partitions,"grid")')),
-        ("MemorySize", ((job % 4) * 500 + 2000).cast("string")),
-        (
-            F.when(job % 2 == 0, "LPMPassName").otherwise(LEGACY_KEY),
-            F.concat(F.lit("pass"), (job % 3 + 1).cast("string")),
-        ),
-    ]
-    if all_keys:
-        suffix = F.concat(F.lit("_"), job.cast("string"))
-        fields += [(key, F.concat(F.lit(key), suffix)) for key in _derived_keys()]
-    pairs = [c for key, value in fields for c in (F.lit(key) if isinstance(key, str) else key, value)]
-    text = F.to_json(F.create_map(*pairs))
-    packages = F.to_json(F.array(package))
-    # merge the one list value into the object text
-    return F.concat(F.lit('{"Packages":'), packages, F.lit(","), F.substring(text, 2, 1 << 30))
-
-
-def mon_jdls_rows(ids: DataFrame, corrupt: Sequence[int] = (501, 502), all_keys: bool = True) -> DataFrame:
-    """``mon_jdls`` rows; the two ``corrupt`` ids hold garbled and truncated text."""
+def jdl_keys() -> list[str]:
+    """Every key of a generated JDL in its usual spelling: what the contract maps, and what passes through."""
+    return sorted({*JDL_KEYS, *EXTRA_JDL, "TTL", "Packages", PASS_KEY} - set(UNSERVED_KEYS))
+
+
+def jdl_text(job: Column, all_keys: bool = True) -> Column:
+    """A whole JDL. The packages are a list; every other value is text made of its key and a drawn number.
+
+    About half of the ids spell the pass-name key in its legacy case.
+    """
+    keys = jdl_keys() if all_keys else ["TTL", "Packages", PASS_KEY]
+    pairs: list[Column] = []
+    number = drawn("jdl", job, 1_000_000)
+    for place, key in enumerate(keys):
+        if key == "Packages":
+            continue
+        name = F.when(drawn("spelling", job, 2) == 0, PASS_KEY).otherwise(LEGACY_KEY) if key == PASS_KEY else F.lit(key)
+        pairs += [name, F.concat(F.lit(f"{key[:3]} "), (number + place).cast("string"))]
+    packages = F.to_json(F.transform(F.sequence(F.lit(0), drawn("packages", job, 3)), lambda i: F.concat(F.lit("pkg@"), i.cast("string"))))
+    rest = F.to_json(F.create_map(*pairs))
+    return F.concat(F.substring(rest, 1, F.length(rest) - 1), F.lit(',"Packages":'), packages, F.lit("}"))
+
+
+def oddness(job: Column) -> Column:
+    """0 for a text that is cut in its middle, 1 for one with a stray tail, else a whole text."""
+    return drawn("oddness", job, ODD_IN)
+
+
+def mon_jdls_rows(ids: DataFrame, all_keys: bool = True) -> DataFrame:
+    """``mon_jdls`` rows; of ODD_IN ids about one is cut short and one has a stray tail."""
     job = F.col("job_id")
+    whole = jdl_text(job, all_keys=all_keys)
     text = (
-        F.when(job == corrupt[0], '{"TTL": "3600", "CPUCores": not valid json here')
-        .when(job == corrupt[1], '{"TTL": "1800", "CPUCores": "2", "Executable": "/grid/bin/run"')
-        .otherwise(jdl_text(job, all_keys=all_keys))
+        F.when(oddness(job) == 0, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
+        .when(oddness(job) == 1, F.concat(whole, F.lit(" ;; tail")))
+        .otherwise(whole)
     )
-    return ids.select("job_id", padded("LPMJT_", job % 15 + 1, 3).alias("lpmjobtypeid"), text.alias("full_jdl"))
+    kind = F.concat(F.lit("type "), drawn("type", job, 20).cast("string"))
+    return ids.select("job_id", kind.alias("lpmjobtypeid"), text.alias("full_jdl"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hashlib import md5
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -11,6 +12,7 @@ from telemill.operators.drift import SchemaFrozenError
 from telemill.plans import jobs
 from telemill.plans.lake import CommitConflictError, Lake, NullKeyError
 from telemill.session import scratch
+from telemill.sources import generator
 from telemill.sources.generator import job_info_rows, mon_jdls_rows, trace_rows
 
 
@@ -140,6 +142,10 @@ def test_reset_needs_confirmation(spark, lake):
     assert lake.cursor("t") is None and lake.tables().count() == 0
 
 
+def drawn(name, job, span):
+    return int(md5(f"{name}:{job}".encode()).hexdigest()[:8], 16) % span
+
+
 def test_nightly_contract_export_and_replay(spark):
     landing, lake = Lake(spark, scratch(spark, "landing"), 300), Lake(spark, scratch(spark, "lake"), 300)
     ids = spark.range(1, 1001).withColumnRenamed("id", "job_id")
@@ -150,10 +156,12 @@ def test_nightly_contract_export_and_replay(spark):
     source = {name: landing.read(name) for name in ("job_info", "trace", "mon_jdls")}
     jobs.run_nightly(lake, source, "n1")
     parsed = lake.read("mon_jdls_parsed")
+    odd = [job for job in range(1, 1001) if drawn("oddness", job, generator.ODD_IN) < 2]
+    assert odd
     assert parsed.count() == 1000 and len(parsed.columns) == 109
     assert "jdl__lpm_pass_name" in parsed.columns and "jdl__lpmpassname" not in parsed.columns
-    assert [r.job_id for r in parsed.filter("not jdl_parse_ok").orderBy("job_id").collect()] == [501, 502]
-    assert parsed.filter("jdl__lpm_pass_name is null").count() == 2
+    assert [r.job_id for r in parsed.filter("not jdl_parse_ok").orderBy("job_id").collect()] == odd
+    assert parsed.filter("jdl__lpm_pass_name is null").count() == len(odd)
     kinds = {f.dataType.simpleString() for f in parsed.schema if f.name.startswith("jdl__")}
     assert kinds == {"string"}
     before = parsed.drop("_dlt_load_id", "_dlt_id").collect()
@@ -169,10 +177,12 @@ def test_nightly_contract_export_and_replay(spark):
     assert rows["trace"].snapshot_id == lake.head("trace").snapshot_id
     assert spark.read.parquet(f"{out}/mon_jdls_parsed.parquet").count() == 1000
     assert spark.read.json(f"{out}/manifest.json").count() == 3
-    # ids age by id % 30: 528 of 1000 are older than 14 days, in every table
+    # a job's last change is its age less the stretches of its life
+    settled = lambda job: sum(drawn(n, job, span) for n, span in generator.STRETCHES.items()) - drawn("age", job, generator.MAX_AGE_DAYS * 86_400)
+    old = sum(settled(job) < -14 * 86_400 for job in range(1, 1001))
     result = {r.table: r for r in jobs.run_retention(landing, lake, datetime(2026, 7, 15)).collect()}
-    assert [result[t].deleted for t in ("job_info", "trace", "mon_jdls", "total")] == [528, 528, 528, 1584]
-    assert landing.read("mon_jdls").count() == 472
+    assert [result[t].deleted for t in ("job_info", "trace", "mon_jdls", "total")] == [old, old, old, 3 * old]
+    assert landing.read("mon_jdls").count() == 1000 - old
 
 
 def test_a_new_jdl_key_becomes_a_column_and_is_reported(spark):

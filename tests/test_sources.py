@@ -44,7 +44,7 @@ def lines_of(spark, content: bytes):
 
 
 def test_reader_skips_only_bad_lines(spark):
-    body = "\n".join([probe(1), "not json at all {{{", '{"unterminated": ', "", "   ", probe(2) + "\r", "[1]", probe(3)])
+    body = "\n".join([probe(1), "<html>502 bad gateway</html>", '{"host_id": 12, "addr":', "", "   ", probe(2) + "\r", "[1]", probe(3)])
     lines = lines_of(spark, lzma.compress(body.encode()))
     assert sorted(r.host_id for r in dumps.probe_rows(lines).collect()) == [1, 2, 3]
     report = dumps.line_report(lines).collect()[0]
