@@ -29,9 +29,6 @@ from telemill.plans.lake import Lake, expired_versions, latest_version
 from telemill.sources import dumps
 from telemill.sources.cursors import CURSORS, since, start_value
 
-# A key census beyond this is not a vocabulary but data in the wrong place.
-MAX_KEYS = 5_000
-
 
 @dataclass(frozen=True)
 class Served:
@@ -53,12 +50,9 @@ def exit_code(verdict: DataFrame) -> int:
 
 
 def vocabulary(decoded: DataFrame) -> list[str]:
-    """Distinct JDL keys of a decoded frame. Key names are schema, so their number is bounded."""
+    """Distinct JDL keys of a decoded frame. Each becomes a column, so the driver has to know their names."""
     names = decoded.select(F.explode(F.map_keys("jdl")).alias("key")).distinct()
-    keys = [row.key for row in names.limit(MAX_KEYS + 1).collect()]
-    if len(keys) > MAX_KEYS:
-        raise ValueError(f"more than {MAX_KEYS} distinct JDL keys: not a column vocabulary")
-    return sorted(keys)
+    return sorted(row.key for row in names.toLocalIterator())
 
 
 def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str) -> DataFrame:
@@ -235,16 +229,13 @@ def run_maintenance(lake: Lake, now: datetime, days: int = VERSION_DAYS) -> Data
     return lake.expire(now - timedelta(days=days))
 
 
-def run_upkeep(
-    lake: Lake, now: datetime, keys: Mapping[str, str] | None = None, days: int = VERSION_DAYS
-) -> DataFrame:
+def run_upkeep(lake: Lake, now: datetime, days: int = VERSION_DAYS) -> DataFrame:
     """Compact, expire, remove orphans, in this order; files before and after per table."""
-    keys = keys or {served.lake: "job_id" for served in SERVED}
     cutoff = now - timedelta(days=max(days, VERSION_DAYS))
     spark = lake.spark
     before = lake.current_files().collect()
     for row in lake.tables().collect():
-        lake.compact(row.table, keys.get(row.table))
+        lake.compact(row.table)
     lake.expire(cutoff)
     lake.remove_orphans(cutoff)
     after = lake.current_files().collect()

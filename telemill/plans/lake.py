@@ -1,10 +1,12 @@
 """Versioned lake tables as plain Parquet folders plus a commit log.
 
 Each write adds data folders and then one commit row; readers see only what a
-commit row names, so a job that dies half-way leaves nothing visible. Keyed
-tables are split into key-range buckets (``key div width``), and a merge or
-delete rewrites only the buckets it touches. Keys are unique in a table, so no
-bucket can grow beyond ``width`` rows however the input is skewed.
+commit row names, so a job that dies half-way leaves nothing visible. A table that
+a merge has written is keyed: its key and the width of its key ranges are part of
+the commit row, every later write follows them, and a merge or delete rewrites only
+the ranges it touches. A table of appended rows only has no ranges; a merge lays it
+out once and a delete looks at all of it. A bucket holds the rows of ``width``
+consecutive keys, so it is bounded where keys are unique.
 
 The commit row also carries the cursor, so data and cursor move together.
 Only table metadata (commit rows, bucket folders) passes through the driver.
@@ -15,12 +17,11 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,18 +106,22 @@ class Lake:
             .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
         )
 
-    def _stored_files(self) -> DataFrame:
-        """(table, folder, path, bytes, modified_at) of every data file; reads no content."""
-        if not path_exists(self.spark, f"{self.root}/data"):
+    def _stored_files(self, table: str | None = None) -> DataFrame:
+        """(table, folder, path, bytes, modified_at) of the data files of one table or of all; reads no content."""
+        folder = f"{self.root}/data" + (f"/{table}" if table else "")
+        if not path_exists(self.spark, folder):
             empty = "table string, folder string, path string, bytes bigint, modified_at timestamp"
             return self.spark.createDataFrame([], empty)
         stored = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
-            .load(f"{self.root}/data")
+            .load(folder)
         )
-        place = F.regexp_extract("path", r"/(data/([^/]+)/.*)/[^/]+$", 1)
+        # paths below the root, which may itself hold any segment
+        prefix = qualified(self.spark, self.root) + "/"
+        below = F.when(F.startswith("path", F.lit(prefix)), F.substring("path", len(prefix) + 1, 1 << 30))
+        place = F.regexp_extract(below, "^(data/.*)/[^/]+$", 1)
         return stored.select(
             F.regexp_extract(place, "^data/([^/]+)/", 1).alias("table"),
             place.alias("folder"),
@@ -142,13 +147,15 @@ class Lake:
 
     # ---- writes -----------------------------------------------------------------
 
-    def _bucket(self, key: str) -> Column:
-        return F.expr(f"`{key}` div {self.width}L")
+    def _layout(self, head: Row | None) -> tuple[str | None, int]:
+        """Key and range width of a table as its commit rows have them."""
+        return (head.key, head.width) if head and head.key else (None, self.width)
 
-    def _write(self, df: DataFrame, table: str, key: str | None) -> list[Row]:
+    def _write(self, df: DataFrame, table: str, key: str | None, width: int) -> list[Row]:
         """Write data folders; returns (bucket, path, records) for each, from file footers."""
         base = f"data/{table}/{uuid.uuid4().hex}"
-        bucket = self._bucket(key) if key else F.lit(0).cast("bigint")
+        # ranges of equal width on both sides of zero
+        bucket = F.expr(f"(`{key}` - pmod(`{key}`, {width}L)) div {width}L") if key else F.lit(0).cast("bigint")
         bucketed = df.withColumn(BUCKET, bucket)
         # adaptive rebalancing: small buckets share tasks, a large one is split over many
         out = bucketed.hint("rebalance", BUCKET) if key else bucketed
@@ -181,7 +188,9 @@ class Lake:
         cursor: tuple[str, str] | None = None,
         run_id: str | None = None,
         committed_at: datetime | None = None,
+        layout: tuple[str | None, int] | None = None,
     ) -> int:
+        key, width = layout or self._layout(head)
         sequence = (head.sequence_number if head else 0) + 1
         snapshot = time.time_ns()
         row = {
@@ -194,19 +203,23 @@ class Lake:
             "cursor_value": cursor[1] if cursor else None,
             "run_id": run_id,
             "table_schema": schema.json(),
+            "key": key,
+            "width": width,
             "parts": [part.asDict() for part in parts],
         }
         log_schema = T.StructType(
             [f for f in schemas.COMMITS if f.name not in ("table", "sequence_number")]
         )
         record = self.spark.createDataFrame([row], log_schema).coalesce(1)
-        target = f"{self._log_path(table)}/sequence_number={sequence}"
+        # readers pass over names that begin with an underscore; a rename to a file that is there fails
+        waiting = f"{self._log_path()}/_waiting-{uuid.uuid4().hex}"
+        record.write.parquet(waiting)
         try:
-            record.write.mode("error").parquet(target)
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
+            publish(self.spark, waiting, f"{self._log_path(table)}/sequence_number={sequence}/commit.parquet")
+        except FileExistsError as exc:
             raise CommitConflictError(f"{table}: version {sequence} was committed by another job") from exc
+        finally:
+            remove_path(self.spark, waiting)
         return snapshot
 
     def already_done(self, table: str, run_id: str) -> bool:
@@ -239,28 +252,27 @@ class Lake:
             seen, F.count_if(F.col(key).isNull()).alias("null_keys"), top.alias("top")
         )
         chosen = watched if unique else latest_per_key(watched, key, cursor[0] if cursor else None)
-        staged = self._write(chosen, table, key)
+        laid, width = self._layout(head)
+        staged = self._write(chosen, table, key, width)
         if seen.get["null_keys"]:
             raise NullKeyError(f"{table}: {seen.get['null_keys']} row(s) without {key}")
         if not staged:
             return None
         mark = (cursor[1], _cursor_text(cursor[1], seen.get["top"])) if cursor else None
-        old = {part.bucket: part for part in head.parts} if head else {}
-        mixed = [part for part in staged if part.bucket in old]
-        fresh = [part for part in staged if part.bucket not in old]
-        if mixed:
-            touched = self._load(head, [old[part.bucket].path for part in mixed])
-            new_rows = self.spark.read.schema(_nullable(source.schema)).parquet(
-                *[f"{self.root}/{part.path}" for part in mixed]
-            )
-            kept = touched.join(new_rows.select(key), key, "left_anti")
-            merged = kept.unionByName(new_rows, allowMissingColumns=True)
-            fresh = fresh + self._write(merged, table, key)
-            for part in mixed:
-                old.pop(part.bucket)
-        return self._commit(
-            table, head, APPEND, list(old.values()) + fresh, schema, mark, run_id, **commit
-        )
+        parts = list(head.parts) if head else []
+        # a bucket may have several folders; a table laid out by no or another key is rewritten once
+        hit = {part.bucket for part in staged}
+        touched = parts if laid != key else [part for part in parts if part.bucket in hit]
+        kept = [part for part in parts if part not in touched]
+        fresh = staged
+        if touched:
+            mixed = {part.bucket for part in touched} if laid == key else hit
+            again = [part for part in staged if part.bucket in mixed]
+            new_rows = self.spark.read.schema(_nullable(source.schema)).parquet(*[f"{self.root}/{part.path}" for part in again])
+            old_rows = self._load(head, [part.path for part in touched]).join(new_rows.select(key), key, "left_anti")
+            merged = old_rows.unionByName(new_rows, allowMissingColumns=True)
+            fresh = [part for part in staged if part.bucket not in mixed] + self._write(merged, table, key, width)
+        return self._commit(table, head, APPEND, kept + fresh, schema, mark, run_id, layout=(key, width), **commit)
 
     def append(
         self,
@@ -279,7 +291,7 @@ class Lake:
         head = self.head(table)
         current = T.StructType.fromJson(json.loads(head.table_schema)) if head else None
         schema = schema_gate(current, _nullable(source.schema))
-        added = self._write(source, table, None)
+        added = self._write(source, table, *self._layout(head))
         if not added and cursor is None:
             return None
         parts = (list(head.parts) if head else []) + added
@@ -291,50 +303,49 @@ class Lake:
         head = self.head(table)
         if head is None:
             return 0
-        staged = self._write(doomed.select(key).distinct(), f"staged_{table}", key)
+        laid, width = self._layout(head)
+        staged = self._write(doomed.select(key).distinct(), f"staged_{table}", key, width)
         hit = {part.bucket for part in staged}
-        touched = [part for part in head.parts if part.bucket in hit]
+        touched = [part for part in head.parts if part.bucket in hit or laid != key] if staged else []
         if not touched:
             return 0
         keys = self.spark.read.schema(T.StructType([doomed.schema[key]])).parquet(
             *[f"{self.root}/{part.path}" for part in staged]
         )
         kept = self._load(head, [part.path for part in touched]).join(keys, key, "left_anti")
-        rewritten = self._write(kept, table, key)
+        rewritten = self._write(kept, table, laid, width)
         removed = sum(p.records for p in touched) - sum(p.records for p in rewritten)
         if removed:
-            others = [part for part in head.parts if part.bucket not in hit]
+            others = [part for part in head.parts if part not in touched]
             schema = T.StructType.fromJson(json.loads(head.table_schema))
             self._commit(table, head, OVERWRITE, others + rewritten, schema, **commit)
         return removed
 
     # ---- upkeep -----------------------------------------------------------------
 
-    def compact(self, table: str, key: str | None = None, small: int = 128 << 20, **commit: datetime) -> int | None:
-        """Rewrite folders made of several small files; rows stay the same.
+    def compact(self, table: str, small: int = 128 << 20, **commit: datetime) -> int | None:
+        """Rewrite folders that hold small files together with others; rows and layout stay the same.
 
         The commit is marked ``replace``: it must not count as fresh data.
         """
         head = self.head(table)
         if head is None:
             return None
-        stats = {
-            row.folder: row
-            for row in self._stored_files()
-            .filter(F.col("table") == table)
-            .groupBy("folder")
-            .agg(F.count("*").alias("files"), F.avg("bytes").alias("size"))
-            .collect()
-        }
-        loose = [p for p in head.parts if p.path in stats and stats[p.path].size < small]
+        key, width = self._layout(head)
+        files = self._stored_files(table).groupBy("folder").agg(F.count_if(F.col("bytes") < small).alias("small"))
+        tiny = {row.folder: row.small for row in files.filter("small > 0").collect()}
+        loose = [part for part in head.parts if part.path in tiny]
         if key:
-            loose = [part for part in loose if stats[part.path].files > 1]
-        if not loose or (len(loose) == 1 and stats[loose[0].path].files == 1):
+            # a range is worth a rewrite if it has several small files, in one folder or in more
+            count: dict[int, int] = {}
+            for part in loose:
+                count[part.bucket] = count.get(part.bucket, 0) + tiny[part.path]
+            loose = [part for part in loose if count[part.bucket] > 1]
+        if sum(tiny[part.path] for part in loose) < 2:
             return None
         rows = self._load(head, [part.path for part in loose])
-        packed = self._write(rows if key else rows.hint("rebalance"), table, key)
-        dropped = {part.path for part in loose}
-        parts = [part for part in head.parts if part.path not in dropped] + packed
+        packed = self._write(rows if key else rows.hint("rebalance"), table, key, width)
+        parts = [part for part in head.parts if part not in loose] + packed
         schema = T.StructType.fromJson(json.loads(head.table_schema))
         return self._commit(table, head, REPLACE, parts, schema, **commit)
 
@@ -366,6 +377,12 @@ class Lake:
         return orphan_files(self._stored_files(), self.files(), cutoff)
 
     def remove_orphans(self, cutoff: datetime) -> int:
+        """Remove them; refused if a current version names a folder that no stored file belongs to."""
+        heads = self.commits().groupBy("table").agg(F.max_by("parts", "sequence_number").alias("parts"))
+        named = heads.select("table", F.explode("parts").alias("part")).filter("part.records > 0")
+        lost = named.select("table", F.col("part.path").alias("folder")).join(self._stored_files(), ["table", "folder"], "left_anti")
+        if not lost.isEmpty():
+            raise RuntimeError(f"stored files of a current version are missing or not recognised below {self.root}")
         return _remove(self.orphans(cutoff).select("path"))
 
     def reset(self, confirm: bool = False) -> None:
@@ -433,23 +450,41 @@ def _cursor_text(kind: str, value: str | None) -> str | None:
     return value.replace(" ", "T") if value and kind == "naive" else value
 
 
-def _remove_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as the file system itself spells it, and as file listings show it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
 
-    for batch in batches:
-        gone = 0
-        for path in batch.column("path").to_pylist():
-            store, place = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
-            kind = store.get_file_info(place).type
-            if kind == fs.FileType.Directory:
-                store.delete_dir(place)
-            elif kind == fs.FileType.File:
-                store.delete_file(place)
-            gone += kind != fs.FileType.NotFound
-        yield pa.RecordBatch.from_pydict({"gone": pa.array([gone], pa.int64())})
+def remove_path(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def publish(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one Parquet file of a folder to a name that must be free, in one rename.
+
+    The rename of a file without overwriting is atomic on HDFS and on object stores with such
+    a rename; a folder that a dead writer left behind holds no such file and is in nobody's way.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    place = hadoop.fs.Path(folder)
+    found = [s.getPath() for s in place.getFileSystem(conf).listStatus(place) if s.getPath().getName().endswith(".parquet")]
+    goal = hadoop.fs.Path(target)
+    system = goal.getFileSystem(conf)
+    system.mkdirs(goal.getParent())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        hadoop.fs.FileContext.getFileContext(goal.toUri(), conf).rename(
+            system.makeQualified(found[0]), system.makeQualified(goal), options
+        )
+    except Py4JJavaError as exc:
+        if system.exists(goal):
+            raise FileExistsError(target) from exc
+        raise
 
 
 def _remove(paths: DataFrame) -> int:
-    """Delete files or folders from the executors; a repeated task finds nothing left to do."""
-    gone = paths.mapInArrow(_remove_paths, "gone bigint")
-    return gone.agg(F.coalesce(F.sum("gone"), F.lit(0))).collect()[0][0]
+    """Delete files or folders through the file system that Spark reads with; returns how many were there."""
+    spark = paths.sparkSession
+    return sum(remove_path(spark, row.path) for row in paths.select("path").toLocalIterator())

@@ -561,7 +561,7 @@ def upkeep_sequence(given: Given) -> DataFrame:
     """Compact, expire, remove orphans a month later: one version, all rows."""
     store = _loose(given)
     later = datetime.now(timezone.utc) + timedelta(days=30)
-    jobs.run_upkeep(store, later, keys={})
+    jobs.run_upkeep(store, later)
     versions = store.commits().groupBy("table").agg(F.count("*").alias("versions"))
     rows = store.read("site_sonar").agg(F.count("*")).scalar()
     return versions.select("table", rows.alias("rows"), "versions")
@@ -825,3 +825,65 @@ def stream_upsert(given: Given) -> DataFrame:
             store, rows, "job_info", "events", f"{store.root}/checkpoint", cursor=("last_update", "naive")
         ).awaitTermination()
     return store.read("job_info")
+
+
+# ---- layouts: every write follows the key that the table was merged by -------------------------------
+
+# Fixed value: ids of the landing tables begin here, far from the first key range.
+FIRST_ID = 3_593_645_502
+_SHIFTED = f"SELECT o_orderkey + {FIRST_ID} AS job_id, o_orderstatus AS status, o_totalprice AS price FROM orders"
+
+
+def _shifted(given: Given) -> DataFrame:
+    return given.orders.select(
+        (F.col("o_orderkey") + FIRST_ID).alias("job_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"),
+    )
+
+
+def _changed(rows: DataFrame) -> DataFrame:
+    return rows.filter("job_id % 7 = 0").withColumn("status", F.lit("changed"))
+
+
+_CHANGED = f"""SELECT job_id, CASE WHEN job_id % 7 = 0 THEN 'changed' ELSE status END AS status, price FROM ({_SHIFTED})"""
+
+
+@query(_CHANGED)
+def merge_after_append(given: Given) -> DataFrame:
+    """Three appends and then a merge: all rows stay, once each."""
+    store, rows = new_lake(given, "appended"), _shifted(given)
+    for part in range(3):
+        store.append("t", rows.filter(F.pmod("job_id", F.lit(3)) == part))
+    store.upsert("t", _changed(rows))
+    return store.read("t")
+
+
+@query(f"SELECT * FROM ({_SHIFTED}) WHERE job_id % 5 <> 0")
+def delete_after_append(given: Given) -> DataFrame:
+    """Rows leave a table of appends whatever their ids are."""
+    store, rows = new_lake(given, "deleted"), _shifted(given)
+    store.append("t", rows.filter("job_id % 2 = 0"))
+    store.append("t", rows.filter("job_id % 2 = 1"))
+    store.delete("t", rows.filter("job_id % 5 = 0"))
+    return store.read("t")
+
+
+@query(_CHANGED)
+def merge_after_upkeep(given: Given) -> DataFrame:
+    """Upkeep between two merges of a table keeps its layout, and so its keys unique."""
+    store, rows = new_lake(given, "tended"), _shifted(given)
+    store.upsert("t", rows.filter("job_id % 2 = 0"))
+    store.upsert("t", rows.filter("job_id % 2 = 1"))
+    jobs.run_upkeep(store, datetime(2100, 1, 1, tzinfo=timezone.utc))
+    store.upsert("t", _changed(rows))
+    return store.read("t")
+
+
+@query(_SHIFTED)
+def upkeep_nested_root(given: Given) -> DataFrame:
+    """Upkeep of a lake whose root holds a segment named as its own data folder: nothing live goes."""
+    store, rows = Lake(given.spark, scratch(given.spark, "nested") + "/data/lake"), _shifted(given)
+    store.append("t", rows)
+    jobs.run_upkeep(store, datetime(2100, 1, 1, tzinfo=timezone.utc))
+    return store.read("t")

@@ -54,7 +54,7 @@ PART = _struct("bucket bigint, path string, records bigint")
 COMMITS = _struct(
     "table string, snapshot_id bigint, sequence_number bigint, committed_at timestamp, "
     "operation string, path string, total_records bigint, cursor_kind string, cursor_value string, "
-    "run_id string, table_schema string"
+    "run_id string, table_schema string, key string, width bigint"
 ).add("parts", T.ArrayType(PART))
 
 FILES = _struct("table string, path string, referenced boolean, modified_at timestamp")

@@ -59,14 +59,17 @@ def newer_than(files: DataFrame, mark: int) -> DataFrame:
 
 
 def take_files(files: DataFrame, limit: int | None = None, order: str = "oldest") -> DataFrame:
-    """The next files to read.
+    """The next files to read, in whole epochs: files of the epoch that the limit reaches come along.
 
     ``oldest`` never skips a file. ``newest`` moves the mark past older files that
     the limit left out, which are then never read.
     """
     by = F.col("epoch").desc() if order == "newest" else F.col("epoch").asc()
     ordered = files.orderBy(by, "url")
-    return ordered if limit is None else ordered.limit(limit)
+    if limit is None:
+        return ordered
+    reached = ordered.limit(limit).agg((F.min if order == "newest" else F.max)("epoch").alias("epoch")).scalar()
+    return ordered.filter(F.col("epoch") >= reached if order == "newest" else F.col("epoch") <= reached)
 
 
 def _decoded(content: bytes, path: str) -> Iterator[bytes]:

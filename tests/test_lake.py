@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from hashlib import md5
 from datetime import datetime, timedelta, timezone
+from hashlib import md5
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,50 @@ def test_a_new_jdl_key_becomes_a_column_and_is_reported(spark):
     assert "jdl__brand_new" in lake.read("mon_jdls_parsed").columns
     assert jobs.exit_code(jobs.publish_contract(lake)[0]) == 0
     assert jobs.exit_code(jobs.publish_contract(lake, strict=True)[0]) == 2
+
+
+def test_merge_keeps_every_folder_of_a_bucket(spark):
+    lake = Lake(spark, scratch(spark, "lake"))
+    for start in (0, 10, 20):
+        lake.append("t", frame(spark, [(start + i, "a", 1) for i in range(10)]))
+    lake.upsert("t", frame(spark, [(5, "b", 2), (10**9, "c", 2)]))
+    got = {k: v for k, v, _ in content(lake)}
+    assert len(got) == len(content(lake)) == 31 and got[5] == "b"
+    lake.append("t", frame(spark, [(40, "d", 1), (-40, "d", 1)]))
+    lake.upsert("t", frame(spark, [(40, "e", 1), (-40, "e", 1)]))
+    assert len(content(lake)) == 33 and {v for k, v, _ in content(lake) if abs(k) == 40} == {"e"}
+
+
+def test_upkeep_keeps_the_layout_of_a_keyed_table(spark):
+    lake = Lake(spark, scratch(spark, "lake"))
+    first = 3_593_645_502
+    for half in (0, 1):
+        lake.upsert("own", frame(spark, [(first + i, "a", 1) for i in range(half, 50, 2)]))
+    jobs.run_upkeep(lake, datetime(2100, 1, 1, tzinfo=timezone.utc))
+    lake.upsert("own", frame(spark, [(first + i, "b", 1) for i in range(5)]))
+    assert len(content(lake, "own")) == 50
+
+
+def test_a_root_with_a_data_segment_keeps_its_files(spark):
+    lake = Lake(spark, scratch(spark, "x") + "/data/lake")
+    lake.append("t", frame(spark, [(i, "a", 1) for i in range(10)]))
+    assert lake.orphans(datetime(2100, 1, 1, tzinfo=timezone.utc)).count() == 0
+    assert lake.current_files().collect()[0].files >= 1
+    jobs.run_upkeep(lake, datetime(2100, 1, 1, tzinfo=timezone.utc))
+    assert len(content(lake)) == 10
+
+
+def test_a_dead_writer_blocks_nobody(spark, lake):
+    lake.append("t", frame(spark, [(1, "a", 1)]))
+    Path(f"{lake.root}/commits/table=t/sequence_number=2/_temporary".removeprefix("file:")).mkdir(parents=True)
+    lake.append("t", frame(spark, [(2, "a", 1)]))
+    assert len(content(lake)) == 2 and lake.head("t").sequence_number == 2
+
+
+def test_one_large_file_does_not_hide_small_ones(spark, lake):
+    big = spark.range(200_000).selectExpr("id AS job_id", "sha2(cast(id as string), 256) AS v", "id AS c").coalesce(1)
+    lake.append("t", big)
+    for i in range(3):
+        lake.append("t", frame(spark, [(i, "a", 1)]))
+    assert lake.compact("t", small=1 << 20) is not None
+    assert lake.read("t").count() == 200_003 and lake.compact("t", small=1 << 20) is None

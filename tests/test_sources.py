@@ -152,3 +152,12 @@ def test_utc_text(spark):
     df = spark.createDataFrame([("2026-07-12 19:40:03.327 UTC",), ("2026-07-12 19:40:03.327 CET",), ("x UTC",), (None,)], "t string")
     got = [r[0] for r in df.select(parse_utc(F.col("t")).cast("timestamp_ntz")).collect()]
     assert got == [datetime(2026, 7, 12, 19, 40, 3, 327000), None, None, None]
+
+
+def test_a_limit_takes_whole_epochs(spark):
+    files = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "epoch bigint, url string")
+    first = dumps.take_files(files, 1)
+    assert sorted(r.url for r in first.collect()) == ["a", "b"]
+    mark = first.agg({"epoch": "max"}).first()[0]
+    assert [r.url for r in dumps.take_files(dumps.newer_than(files, mark), 1).collect()] == ["c"]
+    assert [r.url for r in dumps.take_files(files, 1, "newest").collect()] == ["c"]
