@@ -74,8 +74,14 @@ def failure_windows(runs: DataFrame, failed: Column, span: str, step: str, laten
     return counted.select("name", F.col("w.end").alias("at"), "increase")
 
 
-def write_available(stream: DataFrame, target: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a stream over all input there is and stop; output as Parquet."""
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a finished query left out because they came later than its lateness allows."""
+    states = [state for progress in query.recentProgress for state in progress.stateOperators]
+    return sum(state.numRowsDroppedByWatermark for state in states)
+
+
+def write_available(stream: DataFrame, target: str, checkpoint: str, mode: str = "append") -> int:
+    """Run a stream over all input there is and stop; output as Parquet. Returns how many rows came too late."""
     query = (
         stream.writeStream.format("parquet")
         .option("path", target)
@@ -85,3 +91,4 @@ def write_available(stream: DataFrame, target: str, checkpoint: str, mode: str =
         .start()
     )
     query.awaitTermination()
+    return late_rows(query)
