@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame  # noqa: E402
 
 from telemill.plans import jobs  # noqa: E402
 from telemill.plans.lake import Lake  # noqa: E402
-from telemill.session import build_session  # noqa: E402
+from telemill.session import build_session, ship  # noqa: E402
 from telemill.sources.cursors import CURSORS, landing_scan  # noqa: E402
 from telemill.sources.dumps import dump_files  # noqa: E402
 
@@ -52,6 +52,7 @@ def landing_tables(lake: Lake, landing: str) -> dict[str, DataFrame]:
 
 def run(args: argparse.Namespace) -> int:
     spark = build_session(f"telemill-{args.job}")
+    ship(spark)
     lake, now, run_id = Lake(spark, args.lake), datetime.now(timezone.utc), uuid.uuid4().hex
     days = {} if args.days is None else {"days": args.days}
     if args.job == "nightly":

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,23 @@ def build_session(app_name: str = "telemill", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a context: Python workers import it wherever they run.
+
+    Only the driver sees the archive's folder; Spark sends the file.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_telemill_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="telemill-")) / "telemill.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._telemill_shipped = True
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "local").startswith("local")
 
