@@ -16,10 +16,11 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame  # noqa: E402
 
+from telemill import contract  # noqa: E402
 from telemill.plans import jobs  # noqa: E402
 from telemill.plans.lake import Lake  # noqa: E402
 from telemill.session import build_session, ship  # noqa: E402
-from telemill.sources.cursors import CURSORS, landing_scan  # noqa: E402
+from telemill.sources.cursors import CURSORS, parallel_scan, start_value  # noqa: E402
 from telemill.sources.dumps import dump_files  # noqa: E402
 
 
@@ -35,6 +36,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--target", help="folder for an export")
     parser.add_argument("--limit", type=int, help="most dump files to read")
     parser.add_argument("--order", choices=("oldest", "newest"), default="oldest")
+    parser.add_argument("--partitions", type=int, default=32, help="connections of the nightly scan of a database")
+    parser.add_argument("--tables", nargs="+", choices=tuple(contract.TABLES), default=tuple(contract.TABLES), help="tables to export")
     parser.add_argument("--days", type=int, help="age limit of retention, maintenance or upkeep")
     parser.add_argument("--max-age-hours", type=int, default=26)
     parser.add_argument("--strict", action="store_true", help="publish: new JDL keys fail the job")
@@ -44,9 +47,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def landing_tables(lake: Lake, landing: str) -> dict[str, DataFrame]:
+def landing_tables(lake: Lake, landing: str, starts: dict[str, str], partitions: int) -> dict[str, DataFrame]:
     if landing.startswith("jdbc:"):
-        return {name: landing_scan(lake.spark, landing, name) for name in CURSORS}
+        tables = {}
+        for served in jobs.SERVED:
+            cursor = CURSORS[served.landing]
+            start = start_value(cursor, lake.cursor(served.lake), starts.get(served.landing))
+            tables[served.landing] = parallel_scan(
+                lake.spark, landing, served.landing, cursor.column, cursor.kind, start, partitions
+            )
+        return tables
     return {name: Lake(lake.spark, landing).read(name) for name in CURSORS}
 
 
@@ -57,7 +67,7 @@ def run(args: argparse.Namespace) -> int:
     days = {} if args.days is None else {"days": args.days}
     if args.job == "nightly":
         starts = dict(item.split("=", 1) for item in args.start)
-        verdict = jobs.run_nightly(lake, landing_tables(lake, args.landing), run_id, starts)
+        verdict = jobs.run_nightly(lake, landing_tables(lake, args.landing, starts, args.partitions), run_id, starts)
     elif args.job == "retention":
         verdict = jobs.run_retention(Lake(spark, args.landing), lake, now, **days)
     elif args.job == "freshness":
@@ -71,7 +81,7 @@ def run(args: argparse.Namespace) -> int:
     elif args.job == "publish":
         verdict = jobs.publish_contract(lake, args.strict)[0]
     else:
-        verdict = jobs.run_export(lake, args.target, now)
+        verdict = jobs.run_export(lake, args.target, now, args.tables)
     verdict.show(truncate=False)
     return jobs.exit_code(verdict) if "exit_code" in verdict.columns else 0
 

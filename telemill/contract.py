@@ -99,15 +99,19 @@ def _export_name(name: str, taken: set[str]) -> str:
     return f"_src_{name}" if name.lower() in taken else name
 
 
+def view_columns(table: ContractTable) -> list[tuple[str, str | None]]:
+    """(view column, lake column or None) in the order of the view."""
+    taken = {name.lower() for name in table.columns}
+    return [*table.columns.items(), *((_export_name(name, taken), name) for name in table.passthrough)]
+
+
 def project(df: DataFrame, table: ContractTable) -> DataFrame:
     """The contract view of a lake table: renamed, ordered, NULLs typed, tail appended."""
     if not table.columns and not table.passthrough:
         raise ValueError(f"{table.name}: nothing to select")
-    taken = {name.lower() for name in table.columns}
     return df.select(
         *[
             (F.col(source) if source else F.lit(None).cast(table.null_type)).alias(name)
-            for name, source in table.columns.items()
-        ],
-        *[F.col(name).alias(_export_name(name, taken)) for name in table.passthrough],
+            for name, source in view_columns(table)
+        ]
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemill import contract
@@ -205,6 +206,10 @@ def run_retention(
             doomed = retention.deletable_jobs(current, verified, cutoff)
         else:
             doomed = retention.deletable_traces(current, verified, cutoff)
+        if missing:
+            # a report of the smallest keys without proof; it decides nothing
+            report = retention.audit_sample(checked).select(F.lit(name).alias("landing"), "job_id", F.lit(now).alias("checked_at"))
+            lake.append("retention_audit", report)
         rows.append((name, missing, landing.delete(name, doomed), missing))
     outcomes = spark.createDataFrame(
         rows, "table string, kept bigint, deleted bigint, unverified bigint"
@@ -249,7 +254,7 @@ def run_upkeep(lake: Lake, now: datetime, days: int = VERSION_DAYS) -> DataFrame
 def publish_contract(
     lake: Lake, strict: bool = False, tables: Mapping[str, contract.ContractTable] = contract.TABLES
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Check drift both ways; unless a selected column is missing, register the views.
+    """Check drift both ways; unless a selected column is missing, publish the views in the lake.
 
     Returns the verdict (code 2 on blocking or, when strict, additive drift) and the views.
     """
@@ -264,10 +269,37 @@ def publish_contract(
     if verdict.collect()[0].applied:
         for name, spec in tables.items():
             views[name] = contract.project(lake.read(name), spec)
-            views[name].createOrReplaceTempView(f"contract_{name}")
+        _publish_views(lake, tables)
     return verdict, views
 
 
+VIEWS = "contract_views"
+
+
+def _publish_views(lake: Lake, tables: Mapping[str, contract.ContractTable]) -> None:
+    """Keep the definitions in the lake, where any later session finds them."""
+    stamp = time.time_ns()
+    rows = [
+        (stamp, name, position, column, source, spec.null_type)
+        for name, spec in tables.items()
+        for position, (column, source) in enumerate(contract.view_columns(spec))
+    ]
+    kind = "published bigint, view string, position int, column string, source string, null_type string"
+    lake.append(VIEWS, lake.spark.createDataFrame(rows, kind))
+
+
+def contract_view(lake: Lake, name: str) -> DataFrame:
+    """The view as it was last published, over the newest version of its table."""
+    newest = F.max("published").over(Window.partitionBy("view"))
+    stored = lake.read(VIEWS).filter(F.col("view") == name).withColumn("newest", newest).filter("published = newest")
+    columns = stored.orderBy("position").collect()  # one row a column
+    if not columns:
+        raise LookupError(f"{name}: no such view was published")
+    return lake.read(name).select(
+        *[(F.col(f"`{c.source}`") if c.source else F.lit(None).cast(c.null_type)).alias(c.column) for c in columns]
+    )
+
+
 def run_export(
     lake: Lake, target: str, now: datetime | None = None, tables: Iterable[str] = tuple(contract.TABLES)
 ) -> DataFrame:
@@ -277,8 +309,9 @@ def run_export(
     rows = []
     for name in tables:
         schema, source, reason = export.readable_source(
-            lambda name=name: contract.project(lake.read(name), contract.TABLES[name]),
-            lambda name=name: lake.read(name),
+            # the version that the manifest names, whatever is committed meanwhile
+            lambda name=name: contract.project(lake.read(name, versions[name]), contract.TABLES[name]),
+            lambda name=name: lake.read(name, versions[name]),
             name,
         )
         output = f"{name}.parquet"

@@ -897,3 +897,34 @@ def upkeep_nested_root(given: Given) -> DataFrame:
     store.append("t", rows)
     jobs.run_upkeep(store, datetime(2100, 1, 1, tzinfo=timezone.utc))
     return store.read("t")
+
+
+@query(
+    """SELECT 'orders' AS "table", 3::BIGINT AS versions, count(*) AS records, true AS stored FROM orders
+    UNION ALL SELECT 'events', 1, count(*), true FROM events"""
+)
+def lake_inventory(given: Given) -> DataFrame:
+    """Names, version history and files as the lake itself reports them."""
+    store = new_lake(given, "inventory")
+    for part in range(3):
+        store.append("orders", given.orders.filter(F.pmod("o_orderkey", F.lit(3)) == part))
+    store.append("events", given.events)
+    history = store.commits().groupBy("table").agg(
+        F.count("*").alias("versions"), F.max_by("total_records", "sequence_number").alias("records")
+    )
+    files = store.current_files().select("table", (F.col("files") > 0).alias("stored"))
+    return store.tables().join(history, "table").join(files, "table").select("table", "versions", "records", "stored")
+
+
+@query(
+    ctes("job_info")
+    + "SELECT job_id, site, status FROM job_info"
+)
+def published_view(given: Given) -> DataFrame:
+    """A contract view read by its published definition, after another version of its table."""
+    store, rows = new_lake(given, "views"), given.job_info
+    store.upsert("job_info", rows.filter("job_id % 2 = 0"))
+    jobs.publish_contract(store, tables={"job_info": contract.JOB_INFO})
+    store.upsert("job_info", rows)
+    view = jobs.contract_view(store, "job_info")
+    return view.select("job_id", "site", "status")

@@ -216,15 +216,16 @@ _TABLES = ("orders", "lineitem", "events", "pages", "documents")
 
 
 @query(
-    "SELECT table_name AS \"table\", column_name AS \"column\" FROM information_schema.columns "
-    f"WHERE table_name IN {_TABLES}"
+    "SELECT table_name AS \"table\", column_name AS \"column\", CASE data_type WHEN 'VARCHAR' THEN 'string' "
+    "WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS type "
+    f"FROM information_schema.columns WHERE table_name IN {_TABLES}"
 )
 def schema_columns(given: Given) -> DataFrame:
     frames = [schema_rows(getattr(given, name), name) for name in _TABLES]
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)
-    return rows.select("table", "column")
+    return rows.select("table", "column", "type")
 
 
 @query(

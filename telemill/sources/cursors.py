@@ -91,6 +91,26 @@ def jdbc_options(
     return options
 
 
+def bounds_query(table: str, column: str, kind: str, start: str) -> str:
+    """A subquery for the least and largest id at or after a cursor: what a parallel scan is split by."""
+    literal = str(int(start)) if kind == "integer" else f"TIMESTAMP '{start.replace('T', ' ')}'"
+    return f"(SELECT min(job_id) AS lo, max(job_id) AS hi FROM {table} WHERE {column} >= {literal}) AS bounds"
+
+
+def split_of(lo: int | None, hi: int | None, partitions: int) -> dict[str, int]:
+    """Reader bounds for ``partitions`` tasks; an empty or one-row range needs one."""
+    if lo is None or hi is None or hi - lo < partitions:
+        return {}
+    return {"lower": int(lo), "upper": int(hi) + 1, "partitions": partitions}
+
+
+def parallel_scan(spark: SparkSession, url: str, table: str, column: str, kind: str, start: str, partitions: int) -> DataFrame:
+    """A landing table over JDBC, read by several connections at once between the cursor and the largest id."""
+    options = jdbc_options(url, bounds_query(table, column, kind, start))
+    row = spark.read.format("jdbc").options(**options).load().first()
+    return landing_scan(spark, url, table, **split_of(row.lo, row.hi, partitions))
+
+
 def landing_scan(spark: SparkSession, url: str, table: str, **split: int) -> DataFrame:
     """A landing table over JDBC; a cursor filter on top is sent to the database."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **split)).option(

@@ -161,3 +161,12 @@ def test_a_limit_takes_whole_epochs(spark):
     mark = first.agg({"epoch": "max"}).first()[0]
     assert [r.url for r in dumps.take_files(dumps.newer_than(files, mark), 1).collect()] == ["c"]
     assert [r.url for r in dumps.take_files(files, 1, "newest").collect()] == ["c"]
+
+
+def test_bounds_of_a_parallel_scan():
+    assert cursors.bounds_query("trace", "job_id", "integer", "7").startswith("(SELECT min(job_id) AS lo")
+    assert "last_update >= TIMESTAMP '1996-01-01 00:00:00'" in cursors.bounds_query("job_info", "last_update", "naive", "1996-01-01T00:00:00")
+    split = cursors.split_of(10, 1009, 8)
+    options = cursors.jdbc_options("jdbc:x", "trace", **split)
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("10", "1010", "8")
+    assert cursors.split_of(None, None, 8) == cursors.split_of(3, 3, 8) == {}
