@@ -30,6 +30,10 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mod
 # look like one): exponents, 9+ decimals, overflow to infinity, unicode escapes.
 _SUSPECT = r"[0-9]E-?[0-9]|[0-9]\.[0-9]{9}|Infinity|\\u"
 
+# Fixed pattern: a key name that stands twice in the objects of one value; whether it repeats
+# within one object, and which value then counts, the authority decides.
+_REPEATED = r'(?s)"((?:[^"\\]|\\.)*)"\s*:.*"\1"\s*:'
+
 _JDL_MAP = T.MapType(T.StringType(), T.StringType())
 _AUTHORITY_TYPE = T.StructType([T.StructField("jdl", _JDL_MAP)])
 
@@ -146,13 +150,19 @@ def _authority(literal: bool):
     return check.asNondeterministic()
 
 
-def decode_jdl(df: DataFrame, column: str = "full_jdl", exact_tokens: bool = True) -> DataFrame:
+def decode_jdl(
+    df: DataFrame, column: str = "full_jdl", exact_tokens: bool = True, where: Column | None = None
+) -> DataFrame:
     """Replace ``column`` by ``jdl``, ``jdl_parse_ok`` and ``full_jdl_raw``.
 
+    ``where`` is a condition on other columns. It is applied below the parse, which no filter
+    above can pass, and so reaches the scan.
+
     ``exact_tokens=False`` leaves out the Arrow check, for feeds whose values are
     known to hold no exponents, very long numbers, NaN/Infinity or nested escapes.
     Binary texts must be UTF-8 and are never read as a string-literal body.
     """
+    df = df if where is None else df.filter(where)
     binary = isinstance(df.schema[column].dataType, T.BinaryType)
     raw = F.col(column)
     work = df.withColumn("_text", F.try_validate_utf8(raw.cast("string")) if binary else raw)
@@ -183,7 +193,7 @@ def _may_differ(value: Column) -> Column:
     # first byte: quote, minus, digit, "[" or "{"
     first = F.ascii(value)
     looks_typed = first.between(48, 57) | first.isin(34, 45, 91, 123)
-    return looks_typed & value.rlike(_SUSPECT)
+    return (looks_typed & value.rlike(_SUSPECT)) | (first.isin(91, 123) & value.rlike(_REPEATED))
 
 
 def spellings(keys: Iterable[str]) -> dict[str, list[str]]:

@@ -184,3 +184,17 @@ def test_contract_counts():
     assert len(MON_JDLS_PARSED.passthrough) == 44
     assert len(set(MON_JDLS_PARSED.selected)) == 109
     assert columns["LPMPassName"] == jdl_column("LPMPassName") == "jdl__lpm_pass_name"
+
+
+def test_repeated_keys_inside_a_value(spark):
+    texts = ['{"M":{"a":1,"a":2}}', '{"M":[{"a":1},{"a":2}]}', '{"M":{"x":{"b":1,"c":0,"b":[3]}}}', '{"M":{"q\\"":1,"q\\"":2}}', '{"M":{"a":{"a":1}}}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "job_id int, full_jdl string")
+    got = {r.job_id: r.jdl["M"] for r in decode_jdl(rows).collect()}
+    assert got == {0: '{"a":2}', 1: '[{"a":1},{"a":2}]', 2: '{"x":{"b":[3],"c":0}}', 3: '{"q\\"":2}', 4: '{"a":{"a":1}}'}
+
+
+def test_a_condition_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "jdls")
+    spark.range(20).selectExpr("id AS job_id", "'{}' AS full_jdl").write.parquet(path)
+    frame = decode_jdl(spark.read.parquet(path), where=F.col("job_id") > 15)
+    assert "GreaterThan(job_id,15)" in frame._jdf.queryExecution().executedPlan().toString() and frame.count() == 4
