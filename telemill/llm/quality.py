@@ -18,62 +18,68 @@ from pyspark.sql import functions as F
 
 from telemill.llm.common import let, text_or_empty
 
-BLANK = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+WORDS = r"[^ \t\n\x0B\f\r]"
+BLANKS = r"[ \t\n\x0B\f\r]+"
 
 
 @dataclass(frozen=True)
 class LineRules:
-    """A line fails if it matches a pattern or shouts; a document may lose ``most_lost`` of its characters."""
+    """A line fails if it matches a pattern, holds a phrase or shouts; a document may lose ``most_lost`` of its characters.
+
+    The patterns are applied one by one: a pattern that begins with a character class passes over a line quickly.
+    """
 
     navigation: str = (
         r"(?i)^\s*((home|menu|login|log in|sign (in|up)|register|search|next|previous|prev|back( to top)?|top|"
         r"contact( us)?|about( us)?|faq|help|sitemap|share|tweet|print|skip to content|read more|click here)"
         r"(\s*[|>»/·•-]+\s*|\s*$))+$"
     )
-    boilerplate: str = (
-        r"(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie policy|this (site|website) uses cookies|"
-        r"accept (all )?cookies|copyright (\(c\)|©|\d{4})|©\s*\d{4}|powered by|enable javascript|lorem ipsum|subscribe to our)"
+    punctuation: tuple[str, ...] = (r"[!?]{2,}\P{L}*(\s|$)", r"[.,;:]{4,}", r"^[^\p{L}\p{N}]+$")
+    boilerplate: tuple[str, ...] = (
+        "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "uses cookies",
+        "accept cookies", "accept all cookies", "copyright (c)", "copyright ©", "powered by", "enable javascript",
+        "lorem ipsum", "subscribe to our",
     )
-    punctuation: str = r"([!?]{2,}\P{L}*(\s|$)|[.,;:]{4,}|^[^\p{L}\p{N}]+$)"
-    shout_letters: int = 20
-    shout_share: float = 0.7
+    small_letter: str = r"\p{Ll}"
+    shouted: str = r"(\p{Lu}\P{L}*){20}"
     most_lost: float = 0.5
 
 
 def base_counts(text: Column) -> Column:
     """struct(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text that is not null."""
-    packed = F.trim(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
-    words = F.when(packed == "", F.array().cast("array<string>")).otherwise(F.split(packed, " "))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, BLANK, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORDS))
 
     def repeats(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(w) - 2)
-        triple = lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1))
-        windows = F.transform(starts, lambda i: F.struct(triple(i).alias("h"), i.alias("i")))
-        return F.when(F.size(w) < 3, F.lit(0)).otherwise(let(F.array_sort(windows), _covered))
-
-    counts = let(
-        words,
-        lambda w: F.struct(
+        def windows(h: Column) -> Column:
+            triple = lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))
+            return F.transform(F.slice(h, 1, F.size(h) - 2), lambda x, i: F.struct(triple(x, i).alias("h"), i.alias("i")))
+
+        # sort_array orders by value; array_sort would call a comparison for each pair
+        ordered = let(F.transform(w, lambda word: F.xxhash64(word)), lambda h: F.sort_array(windows(h)))
+        return F.when(F.size(w) < 3, F.lit(0)).otherwise(let(ordered, _covered))
+
+    def counts(packed: Column, w: Column) -> Column:
+        return F.struct(
             F.size(w).cast("bigint").alias("n_words"),
-            F.length(F.translate(text, BLANK, "")).cast("bigint").alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+            F.when(F.size(w) > 0, F.length(packed) - F.size(w) + 1).otherwise(0).cast("bigint").alias("word_chars"),
+            F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             repeats(w).cast("bigint").alias("n_repeat_words"),
-        ),
-    )
-    return counts
+        )
+
+    nothing = F.array().cast("array<string>")
+    words = lambda packed: F.when(packed == "", nothing).otherwise(F.split(packed, " "))
+    return let(F.trim(F.regexp_replace(text, BLANKS, " ")), lambda packed: let(words(packed), lambda w: counts(packed, w)))
 
 
 def _covered(ordered: Column) -> Column:
     """Words under windows that equal another one; windows come ordered by (hash, position)."""
 
     def twin(x: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(ordered, i - 1)["h"] == x["h"], F.lit(False))
-        return before | F.coalesce(F.get(ordered, i + 1)["h"] == x["h"], F.lit(False))
+        # a hash beyond either end is null, which equals no other
+        return (F.get(ordered, i - 1)["h"] == x["h"]) | (F.get(ordered, i + 1)["h"] == x["h"])
 
-    found = F.array_sort(F.transform(F.filter(ordered, twin), lambda x: x["i"]))
+    found = F.sort_array(F.transform(F.filter(ordered, twin), lambda x: x["i"]))
     gaps = lambda p: F.transform(p, lambda x, i: F.least(F.lit(3), x - F.coalesce(F.get(p, i - 1), x - 3)))
     # a window adds the words after those of the window before it
     return let(found, lambda p: F.aggregate(gaps(p), F.lit(0), lambda total, gap: total + gap))
@@ -81,37 +87,39 @@ def _covered(ordered: Column) -> Column:
 
 def line_fails(line: Column, rules: LineRules) -> Column:
     """True for a line that a rule removes; blank lines stay."""
-    letters = F.regexp_replace(line, r"\P{L}", "")
-    capitals = F.length(letters) - F.length(F.regexp_replace(letters, r"\p{Lu}", ""))
-    shouts = (F.length(letters) >= rules.shout_letters) & (capitals > F.length(letters) * rules.shout_share)
-    shown = F.translate(line, BLANK, "") != ""
-    patterns = [line.rlike(p) for p in (rules.navigation, rules.boilerplate, rules.punctuation)]
-    return shown & (patterns[0] | patterns[1] | patterns[2] | shouts)
+    shouts = ~line.rlike(rules.small_letter) & line.rlike(rules.shouted)
+    fails = line.rlike(rules.navigation) | shouts
+    for pattern in rules.punctuation:
+        fails = fails | line.rlike(pattern)
+    held = lambda small: F.exists(F.array(*[F.lit(p) for p in rules.boilerplate]), lambda p: F.contains(small, p))
+    return line.rlike(WORDS) & (fails | let(F.lower(line), held))
+
 
+def judged(docs: DataFrame, rules: LineRules = LineRules(), column: str = "text", into: str = "quality") -> DataFrame:
+    """The frame with struct column ``into``: the base counts, base_failed, clean_text, lost, kept.
 
-def judged(docs: DataFrame, rules: LineRules = LineRules(), column: str = "text") -> DataFrame:
-    """The frame with struct column ``quality``: the base counts, base_failed, clean_text, lost, kept."""
+    A column that already has that name is replaced.
+    """
     text = text_or_empty(column)
     lines = F.filter(F.split(text, "\n"), lambda line: ~line_fails(line, rules))
-    return (
-        docs.withColumn("quality", base_counts(text))
-        .withColumn("quality", F.col("quality").withField("clean_text", F.array_join(lines, "\n")))
-        .withColumn("quality", _verdict(F.col("quality"), rules))
-    )
+    # exploding the one value keeps the optimizer from copying it into every use of its fields
+    measured = let(base_counts(text), lambda counts: counts.withField("clean_text", F.array_join(lines, "\n")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
+    return docs.select(*kept, F.explode(F.array(measured)).alias(into)).withColumn(into, _verdict(F.col(into), text, rules))
 
 
-def _verdict(quality: Column, rules: LineRules) -> Column:
+def _verdict(quality: Column, text: Column, rules: LineRules) -> Column:
     failed = (quality["n_words"] < 50) | (100 * quality["n_repeat_words"] > 50 * quality["n_words"])
-    left = F.length(F.translate(quality["clean_text"], BLANK, "")).cast("bigint")
-    lost = quality["word_chars"] - left
+    left = F.length(F.regexp_replace(quality["clean_text"], BLANKS, "")).cast("bigint")
+    lost = F.when(quality["clean_text"] == text, F.lit(0).cast("bigint")).otherwise(quality["word_chars"] - left)
     kept = ~failed & (lost <= quality["word_chars"] * rules.most_lost)
     return quality.withField("base_failed", failed).withField("lost", lost).withField("kept", kept)
 
 
 def clean_documents(docs: DataFrame, rules: LineRules = LineRules(), column: str = "text") -> DataFrame:
     """The documents that pass, with the columns they came with and their failing lines removed."""
-    kept = judged(docs, rules, column).filter("quality.kept")
-    out = kept.withColumn(column, F.when(F.col(column).isNotNull(), F.col("quality.clean_text")))
+    kept = judged(docs, rules, column, into="_quality_").filter("_quality_.kept")
+    out = kept.withColumn(column, F.when(F.col(column).isNotNull(), F.col("_quality_.clean_text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(column).cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

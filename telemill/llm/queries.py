@@ -179,9 +179,8 @@ WITH texts AS (
 ), rules AS (
   SELECT *, regexp_replace(t, '[ \t\n\x0B\f\r]', '', 'g') AS bare, list_filter(l, lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS shown,
     list_filter(l, lambda x: NOT (regexp_matches(x, '[^ \t\n\x0B\f\r]') AND (
-      regexp_matches(x, '@NAVIGATION@') OR regexp_matches(x, '@BOILERPLATE@') OR regexp_matches(x, '@PUNCTUATION@')
-      OR (length(regexp_replace(x, '\P{L}', '', 'g')) >= 20
-          AND length(regexp_replace(x, '\P{Lu}', '', 'g')) > length(regexp_replace(x, '\P{L}', '', 'g')) * 0.7)))) AS clean
+      regexp_matches(x, '@NAVIGATION@') OR @PUNCTUATION@ OR @BOILERPLATE@
+      OR (NOT regexp_matches(x, '\p{Ll}') AND regexp_matches(x, '(\p{Lu}\P{L}*){20}'))))) AS clean
   FROM texts
 ), counted AS (
   SELECT r.doc_id, len(w)::BIGINT AS n_words, length(bare)::BIGINT AS word_chars,
@@ -200,9 +199,10 @@ def _with_rules(sql: str) -> str:
     from telemill.llm.quality import LineRules
 
     rules = LineRules()
-    for name in ("navigation", "boilerplate", "punctuation"):
-        sql = sql.replace(f"@{name.upper()}@", getattr(rules, name))
-    return sql
+    punctuation = " OR ".join(f"regexp_matches(x, '{pattern}')" for pattern in rules.punctuation)
+    boilerplate = " OR ".join(f"contains(lower(x), '{phrase}')" for phrase in rules.boilerplate)
+    sql = sql.replace("@NAVIGATION@", rules.navigation).replace("@PUNCTUATION@", punctuation)
+    return sql.replace("@BOILERPLATE@", boilerplate)
 
 
 SQL["op5_line_quality"] = _with_rules(SQL["op5_line_quality"])
