@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of three lines that an earlier one holds; emptied documents go."""
-    out = line_dedup.dedup_lines(docs).filter((F.col("n_removed") == 0) | (F.translate("text", " \t\n\x0b\x0c\r", "") != ""))
+    out = line_dedup.dedup_lines(docs, count="_removed_").filter((F.col("_removed_") == 0) | (F.translate("text", " \t\n\x0b\x0c\r", "") != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

@@ -65,12 +65,15 @@ def _kept(text: Column, starts: Column) -> Column:
     return let(_lines(text), keep)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages removed, and n_removed, the number of removed lines."""
+def dedup_lines(docs: DataFrame, count: str = "n_removed") -> DataFrame:
+    """The documents with repeated passages removed, and the number of removed lines as ``count``.
+
+    A column that already has that name is replaced.
+    """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    marks = repeated_lines(texts).withColumnRenamed("doc_id", "_marked_id").withColumnRenamed("starts", "_starts")
-    joined = docs.join(marks, F.col("doc_id") == F.col("_marked_id"), "left")
-    covered = F.size(F.array_distinct(F.flatten(F.transform("_starts", lambda i: F.sequence(i, i + SIZE - 1)))))
-    removed = F.when(F.col("text").isNotNull() & F.col("_starts").isNotNull(), covered).otherwise(0)
-    text = F.when(F.col("_starts").isNull(), F.col("text")).otherwise(_kept(F.col("text"), F.col("_starts")))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], removed.cast("bigint").alias("n_removed"))
+    marks = repeated_lines(texts).withColumnRenamed("doc_id", "_marked_id_").withColumnRenamed("starts", "_starts_")
+    joined = docs.join(marks, F.col("doc_id") == F.col("_marked_id_"), "left")
+    covered = F.size(F.array_distinct(F.flatten(F.transform("_starts_", lambda i: F.sequence(i, i + SIZE - 1)))))
+    removed = F.when(F.col("text").isNotNull() & F.col("_starts_").isNotNull(), covered).otherwise(0)
+    text = F.when(F.col("_starts_").isNull(), F.col("text")).otherwise(_kept(F.col("text"), F.col("_starts_")))
+    return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != count], removed.cast("bigint").alias(count))

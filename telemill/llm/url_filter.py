@@ -47,7 +47,7 @@ def with_rules(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFra
     for verdict, rule_host, rule_path in sorted(rules, key=lambda r: len(r[1] + r[2])):
         fits = ((F.col("host") == rule_host) | F.col("host").endswith("." + rule_host)) & F.col("path").startswith(rule_path)
         best = F.when(fits, rule_host + rule_path).otherwise(best[0]), F.when(fits, verdict).otherwise(best[1])
-    return out.withColumns({"rule": best[0], "ruled": best[1]})
+    return out.withColumns({"rule": best[0], "_ruled_": best[1]})
 
 
 def _shape(host: Column, path: Column) -> Column:
@@ -61,15 +61,15 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
     The longest n-grams are counted over all rows; the shorter ones are sums of those counts.
     """
-    padded = F.concat(F.lit(START * ORDER), F.col("shape"), F.lit(END))
-    ends = F.sequence(F.lit(1), F.length("shape") + 1)
-    longest = labelled.select("ruled", F.explode(F.transform(ends, lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).alias("gram"))
-    longest = longest.groupBy("ruled", "gram").agg(F.count("*").alias("n"))
+    padded = F.concat(F.lit(START * ORDER), F.col("_shape_"), F.lit(END))
+    ends = F.sequence(F.lit(1), F.length("_shape_") + 1)
+    longest = labelled.select("_ruled_", F.explode(F.transform(ends, lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).alias("gram"))
+    longest = longest.groupBy("_ruled_", "gram").agg(F.count("*").alias("n"))
     sizes = F.sequence(F.lit(1), F.lit(ORDER + 1))
-    every = longest.select("ruled", F.explode(F.transform(sizes, lambda k: F.right("gram", k))).alias("gram"), "n")
-    every = every.groupBy("ruled", "gram").agg(F.sum("n").alias("n"))
-    totals = longest.groupBy("ruled").agg(F.sum("n").alias("total"))
-    return every.join(totals, "ruled").filter(F.col("n") * SHARE >= F.col("total")).select("ruled", "gram", "n")
+    every = longest.select("_ruled_", F.explode(F.transform(sizes, lambda k: F.right("gram", k))).alias("gram"), "n")
+    every = every.groupBy("_ruled_", "gram").agg(F.sum("n").alias("n"))
+    totals = longest.groupBy("_ruled_").agg(F.sum("n").alias("total"))
+    return every.join(totals, "_ruled_").filter(F.col("n") * SHARE >= F.col("total")).select("_ruled_", "gram", "n")
 
 
 class MarkovModel:
@@ -108,7 +108,7 @@ def _scored(pages: DataFrame, models: dict[str, dict[str, int]]) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allow, block = MarkovModel(models["allow"]), MarkovModel(models["block"])
         for batch in batches:
-            scores = [allow.score(s) - block.score(s) for s in batch.column("shape").to_pylist()]
+            scores = [allow.score(s) - block.score(s) for s in batch.column("_shape_").to_pylist()]
             yield batch.append_column("score", pa.array(scores, pa.float64()))
 
     return pages.mapInArrow(score, pages.withColumn("score", F.lit(0.0)).schema)
@@ -117,11 +117,11 @@ def _scored(pages: DataFrame, models: dict[str, dict[str, int]]) -> DataFrame:
 def _threshold(held_out: DataFrame) -> float:
     """The score that separates the held-out labels best, in steps; the mean of both error rates counts."""
     step = F.round(F.least(F.lit(REACH), F.greatest(F.lit(-REACH), F.col("score"))) / STEP).cast("int").alias("step")
-    rows = held_out.groupBy("ruled", step).count().collect()  # at most 2 * (2 * REACH / STEP + 1) rows
+    rows = held_out.groupBy("_ruled_", step).count().collect()  # at most 2 * (2 * REACH / STEP + 1) rows
     places = int(REACH / STEP)
     n = {label: np.zeros(2 * places + 1) for label in ("allow", "block")}
     for row in rows:
-        n[row.ruled][row.step + places] = row["count"]
+        n[row._ruled_][row.step + places] = row["count"]
     if not n["allow"].sum() or not n["block"].sum():
         return 0.0
     # allowed from a step on: what is allowed below it and blocked from it on is wrong
@@ -134,27 +134,27 @@ def _threshold(held_out: DataFrame) -> float:
 def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """The frame with host, path, rule, score (null where a rule decides) and verdict.
 
-    What reaches the driver and the tasks is bounded: at most SHARE n-grams for each order and
+    Columns that already have these names are replaced. What reaches the driver and the tasks is bounded: at most SHARE n-grams for each order and
     label, and one histogram of scores.
     """
-    ruled = with_rules(pages, rules, url).withColumn("shape", _shape(F.col("host"), F.col("path")))
+    ruled = with_rules(pages.drop("score", "verdict"), rules, url).withColumn("_shape_", _shape(F.col("host"), F.col("path")))
     fold = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))
-    labelled = ruled.filter("ruled IS NOT NULL").select("ruled", "shape", fold.alias("fold"))
+    labelled = ruled.filter("_ruled_ IS NOT NULL").select("_ruled_", "_shape_", fold.alias("fold"))
     models: dict[str, dict[str, int]] = {"allow": {}, "block": {}}
     for row in gram_counts(labelled.filter("fold > 0")).collect():
-        models[row.ruled][row.gram] = row.n
+        models[row._ruled_][row.gram] = row.n
     rest = ["host", "path", "rule"]
-    names = [c for c in pages.columns if c not in rest]
+    names = [c for c in pages.columns if c not in (*rest, "score", "verdict")]
     if not models["allow"] or not models["block"]:
         score, verdict = F.lit(None).cast("double"), F.lit("allow")
         judged = ruled.withColumn("score", score)
     else:
-        threshold = _threshold(_scored(labelled.filter("fold = 0").select("ruled", "shape"), models))
+        threshold = _threshold(_scored(labelled.filter("fold = 0").select("_ruled_", "_shape_"), models))
         judged = _scored(ruled, models)
         verdict = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     usable = (F.col("host") != "") | (F.col("path") != "")
     return judged.select(
         *names, *rest,
-        F.when(F.col("ruled").isNull() & usable, F.col("score")).alias("score"),
-        F.coalesce("ruled", F.when(~usable, "block"), verdict).alias("verdict"),
+        F.when(F.col("_ruled_").isNull() & usable, F.col("score")).alias("score"),
+        F.coalesce("_ruled_", F.when(~usable, "block"), verdict).alias("verdict"),
     )
