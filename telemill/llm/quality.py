@@ -34,7 +34,11 @@ class LineRules:
         r"contact( us)?|about( us)?|faq|help|sitemap|share|tweet|print|skip to content|read more|click here)"
         r"(\s*[|>»/·•-]+\s*|\s*$))+$"
     )
-    punctuation: tuple[str, ...] = (r"[!?]{2,}\P{L}*(\s|$)", r"[.,;:]{4,}", r"^[^\p{L}\p{N}]+$")
+    punctuation: tuple[str, ...] = (
+        r"[!?]{2,}\P{L}*(\s|$)", r"[.,;:]{4,}", r"^[^\p{L}\p{N}]+$",
+        r"([#$%&*]{3}[^#$%&*]*){3}",  # runs of symbols between the words
+        r"([|»•·][^|»•·]*){4}",  # a bar of links
+    )
     boilerplate: tuple[str, ...] = (
         "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "uses cookies",
         "accept cookies", "accept all cookies", "copyright (c)", "copyright ©", "powered by", "enable javascript",
