@@ -15,7 +15,7 @@ V = TypeVar("V")
 class SegmentCache(Generic[V]):
     """Two generations of ``kept`` segments at most; what is asked for again moves to the younger."""
 
-    def __init__(self, learn: Callable[[list[str]], list[V]], kept: int = 250_000, long: int = 256):
+    def __init__(self, learn: Callable[[list[str]], list[V]], kept: int = 400_000, long: int = 256):
         self.learn, self.kept, self.long = learn, kept, long
         self.young: dict[str, V] = {}
         self.old: dict[str, V] = {}

@@ -44,13 +44,14 @@ class WordEncoder:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.letter = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size() + 1)]
         self.words: SegmentCache[bytes] = SegmentCache(lambda words: [self._word(w) for w in words])
         self.marks: dict[str, bytes] = {}
         self.stretches: SegmentCache[bytes] = SegmentCache(self.learn)
 
     def _word(self, word: str) -> bytes:
         spelled = "".join([self.letter[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -123,7 +124,8 @@ def _placed(spark: SparkSession, target: str) -> DataFrame:
     for part, total in sorted(tuple(row) for row in totals):
         offsets.append((part, before))
         before += total
-    placed = stored.join(spark.createDataFrame(offsets, "part int, before bigint"), "part")
+    # one row of two numbers for each task that wrote: small however many documents there are
+    placed = stored.join(F.broadcast(spark.createDataFrame(offsets, "part int, before bigint")), "part")
     return placed.withColumn("start", F.col("before") + F.col("start_in_part"))
 
 
