@@ -45,9 +45,9 @@ class WordEncoder:
         rest = [b for b in range(256) if b not in printable]
         self.letter = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
         self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size() + 1)]
-        self.words: SegmentCache[bytes] = SegmentCache(lambda words: [self._word(w) for w in words])
+        self.words: SegmentCache[bytes] = SegmentCache(lambda words: [self._word(w) for w in words], kept=300_000)
         self.marks: dict[str, bytes] = {}
-        self.stretches: SegmentCache[bytes] = SegmentCache(self.learn)
+        self.stretches: SegmentCache[bytes] = SegmentCache(self.learn, kept=300_000)
 
     def _word(self, word: str) -> bytes:
         spelled = "".join([self.letter[b] for b in word.encode()])
