@@ -67,9 +67,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, a, b in _places(words.offsets):
             at = a + np.flatnonzero(np.isin(least[a:b], shared[bounds[i] : bounds[i + 1]]))
             window, first = np.unique(whole[at], return_index=True)
+            # windows of an anchor stand together, so that the anchor column takes little room
+            order = np.argsort(least[at][first], kind="stable")
             rows.append(np.full(len(window), i))
-            anchors.append(least[at][first])
-            windows.append(window)
+            anchors.append(least[at][first][order])
+            windows.append(window[order])
         if rows:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -136,6 +138,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     windows = known.join(of_doc, "doc_id").select("doc_id", "text", "anchors").mapInArrow(_windows, "doc_id bigint, anchor bigint, window bigint")
     windows = written(windows, "windows")
     first = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    first = written(first.drop("last"), "first")
     later = windows.join(first, ["anchor", "window"]).filter("doc_id > first")
     gone = written(later.groupBy("doc_id").agg(F.collect_set("window").alias("windows")), "repeats")
 
