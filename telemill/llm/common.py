@@ -12,10 +12,18 @@ from pyspark.sql import functions as F
 
 from telemill.session import scratch
 
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts are long rows: fewer of them in an Arrow batch keep tasks and Python workers small."""
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -26,6 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     files of the step go as soon as the table is written.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    small_batches(spark)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -44,7 +53,7 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that the texts of one take about ``most`` bytes; a longer text comes alone."""
     for batch in batches:
         if not batch.num_rows:
