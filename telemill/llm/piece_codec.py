@@ -29,8 +29,8 @@ SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 #: letters with the marks before them, or what stands between letters
 RUN = re.compile(rf"{MARK}*[^\W\d_]+|[\W\d_]+")
 SHIFT, SHORT, GONE = 32, 48, -2
-NO_PLACE = 1 << 40
-NEVER = (NO_PLACE, -1)
+KEPT_PARTS = 250_000
+NO_PLACE = 1 << 30
 
 
 class PieceCodec:
@@ -54,15 +54,22 @@ class PieceCodec:
         # equal scores share a place, so that the leftmost pair decides between them
         scores = {i: self.library.get_score(i) for i in self.ids.values()}
         places = {score: place for place, score in enumerate(sorted(set(scores.values()), reverse=True))}
-        self.merges = {
-            (self.ids[p[:i]] << SHIFT) | self.ids[p[i:]]: (places[scores[k]], k)
+        # a pair of neighbours is one number; it has a place on the agenda and makes a piece. The number
+        # ``size`` stands for every character that is no piece: no pair holds it
+        self.size, self.base = size, size + 1
+        self.made = {
+            self.ids[p[:i]] * self.base + self.ids[p[i:]]: k
             for p, k in self.ids.items()
             for i in range(1, len(p))
             if p[:i] in self.ids and p[i:] in self.ids
         }
+        self.place = {pair: places[scores[k]] for pair, k in self.made.items()}
         self.whole = len(self.id_of_byte) == 256
         self.cache: SegmentCache[str] = SegmentCache(self.learn)
-        self.parts: SegmentCache[list[int]] = SegmentCache(lambda parts: [self.merge(part) for part in parts])
+        self.decimal = [str(i) for i in range(size)]
+        # tuples of numbers, which Python's collector need not visit
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.old_parts: dict[str, tuple[int, ...]] = {}
         self.differences = 0
 
     def merge(self, text: str) -> list[int]:
@@ -70,38 +77,35 @@ class PieceCodec:
 
         A character without a piece never merges and becomes its byte pieces.
         """
-        ids, get = self.ids, self.merges.get
-        symbols = [ids.get(c, -1) for c in text]
+        ids, place, made_of, base, lone = self.ids, self.place.get, self.made, self.base, self.size
+        symbols = [ids.get(c, lone) for c in text]
         if len(symbols) > SHORT:
             symbols = self._merge_long(symbols)
         else:
             # the agenda of a short part is one place per neighbour pair; index() finds the leftmost of the best
-            agenda = [get((a << SHIFT) | b, NEVER)[0] for a, b in zip(symbols, symbols[1:])]
-            while agenda and (best := min(agenda)) < NO_PLACE:
+            agenda = [place(a * base + b, NO_PLACE) for a, b in zip(symbols, symbols[1:])]
+            while agenda and (best := min(agenda)) != NO_PLACE:
                 i = agenda.index(best)
-                symbols[i] = made = get((symbols[i] << SHIFT) | symbols[i + 1])[1]
-                del symbols[i + 1], agenda[i]
+                symbols[i] = made = made_of[symbols[i] * base + symbols.pop(i + 1)]
+                del agenda[i]
                 if i < len(agenda):
-                    agenda[i] = get((made << SHIFT) | symbols[i + 1], NEVER)[0]
+                    agenda[i] = place(made * base + symbols[i + 1], NO_PLACE)
                 if i:
-                    agenda[i - 1] = get((symbols[i - 1] << SHIFT) | made, NEVER)[0]
-        if -1 not in symbols:
+                    agenda[i - 1] = place(symbols[i - 1] * base + made, NO_PLACE)
+        if lone not in symbols:
             return symbols
-        lone = iter([c for c in text if c not in ids])
+        single = iter([c for c in text if c not in ids])
         out: list[int] = []
         for symbol in symbols:
-            out += [symbol] if symbol >= 0 else [self.id_of_byte.get(b, self.unknown) for b in next(lone).encode()]
+            out += [symbol] if symbol != lone else [self.id_of_byte.get(b, self.unknown) for b in next(single).encode()]
         return out
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """The same with a heap of (place, position) and linked neighbours, for long parts."""
-        get, last = self.merges.get, len(symbols) - 1
+        place, made_of, base, last = self.place.get, self.made, self.base, len(symbols) - 1
         before, after = list(range(-1, last)), [*range(1, last + 1), -1]
-        agenda = [
-            (found[0] << SHIFT) | i
-            for i in range(last)
-            if (found := get((symbols[i] << SHIFT) | symbols[i + 1]))
-        ]
+        first = ((place(symbols[i] * base + symbols[i + 1]), i) for i in range(last))
+        agenda = [(found << SHIFT) | i for found, i in first if found is not None]
         heapq.heapify(agenda)
         while agenda:
             top = heapq.heappop(agenda)
@@ -109,19 +113,19 @@ class PieceCodec:
             right = after[left]
             if right < 0 or symbols[left] == GONE:
                 continue
-            found = get((symbols[left] << SHIFT) | symbols[right])
-            if not found or found[0] != top >> SHIFT:
+            pair = symbols[left] * base + symbols[right]
+            if place(pair) != top >> SHIFT:
                 continue
-            symbols[left] = made = found[1]
+            symbols[left] = made = made_of[pair]
             symbols[right] = GONE
             after[left] = beyond = after[right]
             if beyond >= 0:
                 before[beyond] = left
-                if found := get((made << SHIFT) | symbols[beyond]):
-                    heapq.heappush(agenda, (found[0] << SHIFT) | left)
+                if (found := place(made * base + symbols[beyond])) is not None:
+                    heapq.heappush(agenda, (found << SHIFT) | left)
             ahead = before[left]
-            if ahead >= 0 and (found := get((symbols[ahead] << SHIFT) | made)):
-                heapq.heappush(agenda, (found[0] << SHIFT) | ahead)
+            if ahead >= 0 and (found := place(symbols[ahead] * base + made)) is not None:
+                heapq.heappush(agenda, (found << SHIFT) | ahead)
         return [s for s in symbols if s != GONE]
 
     def cut(self, segment: str) -> list[str]:
@@ -134,19 +138,34 @@ class PieceCodec:
     def learn(self, segments: list[str]) -> list[str]:
         """Ids, as text, of segments without their first mark, checked against the library in one call."""
         truth = self.library.encode([s.replace(MARK, " ") for s in segments], num_threads=1)
-        cut = [self.cut(MARK + segment) for segment in segments]
-        pieces, out = self.pieces, []
-        for segment, right, parts in zip(segments, truth, self.parts.look(cut)):
-            ids = parts[0] if len(parts) == 1 else [i for part in parts for i in part]
+        pieces, decimal, part_ids, out = self.pieces, self.decimal, self.part, []
+        for segment, right in zip(segments, truth):
+            marked = MARK + segment
+            if self.by_script and segment.isalpha():
+                ids = list(part_ids(marked))
+            else:
+                ids = [i for part in self.cut(marked) for i in part_ids(part)]
             # the library gives no ids for the empty text; its lone mark only stands inside a text
             if segment and ids != right:
                 self.differences += 1
                 ids = right
-            if "".join([pieces[i] for i in ids]) != MARK + segment and self.surface(ids) != f" {segment}".replace(MARK, " "):
+            if "".join([pieces[i] for i in ids]) != marked and self.surface(ids) != marked.replace(MARK, " "):
                 self.whole = False
-            out.append(",".join(map(str, ids)))
+            out.append(",".join([decimal[i] for i in ids]))
         return out
 
+    def part(self, text: str) -> tuple[int, ...]:
+        """Ids of a part, kept in two generations as segments are."""
+        ids = self.parts.get(text)
+        if ids is None:
+            if (ids := self.old_parts.get(text)) is None:
+                ids = tuple(self.merge(text))
+            if len(text) <= self.cache.long:
+                if len(self.parts) >= KEPT_PARTS:
+                    self.old_parts, self.parts = self.parts, {}
+                self.parts[text] = ids
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """The text of a whole document's ids; the mark that begins a text is dropped."""
         text = self.surface(ids)
@@ -209,8 +228,9 @@ def encode_texts(docs: DataFrame, model: str, column: str = "text", ids: str = "
     """The frame with ``column`` replaced by its ids, as decimal numbers joined by commas, and their decoded text.
 
     Decimal text keeps a long document's ids in one flat buffer; ``ids_of`` makes an array of it.
+    Columns that already have the new names are replaced.
     """
-    rest = [f for f in docs.schema if f.name != column]
+    rest = [f for f in docs.schema if f.name not in (column, ids, decoded)]
     kept = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(column).cast("string").alias(column))
     schema = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.lit("").alias(ids), F.lit("").alias(decoded)).schema
     return kept.mapInArrow(partial(_encode, model=model, column=column, ids=ids, decoded=decoded), schema)
@@ -222,6 +242,7 @@ def ids_of(ids: str) -> Column:
 
 
 def decode_ids(frame: DataFrame, model: str, column: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """The frame with the decoded text of an array column of ids; null ids give null."""
+    """The frame with the decoded text of an array column of ids, in place of a column of that name; null ids give null."""
+    frame = frame.drop(decoded)
     schema = frame.withColumn(decoded, F.lit("")).schema
     return frame.mapInArrow(partial(_decode, model=model, column=column, decoded=decoded), schema)
