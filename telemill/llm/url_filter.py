@@ -11,24 +11,23 @@ Every row is judged by itself, so repeated rows and null ids stay as they are.
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemill.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 START, END = "\x02", "\x03"
 ORDER = 5
-#: an n-gram is kept if it makes up 1 / SHARE of its order's count, so at most SHARE of an order are kept
-SHARE = 5_000
+LABELS = ("allow", "block")
 PRIOR = 4.0
 ALPHABET = 96
 FOLDS = 5
 STEP, REACH = 0.01, 8.0
+UNIT = 1e9
 
 Rule = tuple[str, str, str]
 
@@ -56,72 +55,79 @@ def _shape(host: Column, path: Column) -> Column:
     return F.regexp_replace(shape, r"[^\x20-\x7e]", "?")
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """(ruled, gram, n) of the n-grams of up to ORDER + 1 characters that are frequent enough.
+def _grams(shape: Column) -> Column:
+    """Each character of a shape, and its end, behind the ORDER characters before it."""
+    padded = F.concat(F.lit(START * ORDER), shape, F.lit(END))
+    return F.transform(F.sequence(F.lit(1), F.length(shape) + 1), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))
+
+
+def _keys(gram: Column, count: Callable[[int], Column], total: Callable[[int], Column]) -> Column:
+    """One struct for each n-gram that ends a longest one, and one for each context before its last character."""
+    ends = [F.struct(F.right(gram, F.lit(k + 1)).alias("key"), count(k).alias("of")) for k in range(ORDER + 1)]
+    context = F.left(gram, F.lit(ORDER))
+    return F.array(*ends, *[F.struct(F.right(context, F.lit(k)).alias("key"), total(k).alias("of")) for k in range(ORDER + 1)])
+
 
-    The longest n-grams are counted over all rows; the shorter ones are sums of those counts.
+def gram_counts(shapes: DataFrame) -> DataFrame:
+    """(key, allow, block, after_allow, after_block): how often each text of up to ORDER + 1 characters
+    stands in labelled shapes, and how often it stands there before a character.
+
+    Nothing is left out. The longest n-grams are counted over all shapes; the shorter ones are sums of those counts.
     """
-    padded = F.concat(F.lit(START * ORDER), F.col("_shape_"), F.lit(END))
-    ends = F.sequence(F.lit(1), F.length("_shape_") + 1)
-    longest = labelled.select("_ruled_", F.explode(F.transform(ends, lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).alias("gram"))
-    longest = longest.groupBy("_ruled_", "gram").agg(F.count("*").alias("n"))
-    sizes = F.sequence(F.lit(1), F.lit(ORDER + 1))
-    every = longest.select("_ruled_", F.explode(F.transform(sizes, lambda k: F.right("gram", k))).alias("gram"), "n")
-    every = every.groupBy("_ruled_", "gram").agg(F.sum("n").alias("n"))
-    totals = longest.groupBy("_ruled_").agg(F.sum("n").alias("total"))
-    return every.join(totals, "_ruled_").filter(F.col("n") * SHARE >= F.col("total")).select("_ruled_", "gram", "n")
-
-
-class MarkovModel:
-    """Probabilities of the next character that back off to shorter contexts where a context is rare."""
-
-    def __init__(self, counts: dict[str, int]):
-        self.counts = counts
-        self.context: dict[str, int] = defaultdict(int)
-        for gram, n in counts.items():
-            self.context[gram[:-1]] += n
-        self.context = dict(self.context)
-        self.seen: dict[tuple[str, str], float] = {}
-
-    def log_p(self, context: str, char: str) -> float:
-        key = (context, char)
-        if key not in self.seen:
-            p = 1 / ALPHABET
-            for size in range(ORDER + 1):
-                tail = context[ORDER - size :]
-                if (total := self.context.get(tail)) is None:
-                    break
-                p = (self.counts.get(tail + char, 0) + PRIOR * p) / (total + PRIOR)
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            self.seen[key] = math.log(p)
-        return self.seen[key]
-
-    def score(self, shape: str) -> float:
-        padded = START * ORDER + shape + END
-        return sum(self.log_p(padded[i : i + ORDER], padded[i + ORDER]) for i in range(len(shape) + 1)) / (len(shape) + 1)
-
-
-def _scored(pages: DataFrame, models: dict[str, dict[str, int]]) -> DataFrame:
-    """The frame with column score: the mean log-likelihood of allow less that of block."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allow, block = MarkovModel(models["allow"]), MarkovModel(models["block"])
-        for batch in batches:
-            scores = [allow.score(s) - block.score(s) for s in batch.column("_shape_").to_pylist()]
-            yield batch.append_column("score", pa.array(scores, pa.float64()))
-
-    return pages.mapInArrow(score, pages.withColumn("score", F.lit(0.0)).schema)
+    counted = shapes.filter("allow + block > 0").select("allow", "block", F.explode(_grams(F.col("_shape_"))).alias("gram"))
+    longest = counted.groupBy("gram").agg(*[F.sum(label).alias(label) for label in LABELS])
+    names, none = [*LABELS, *[f"after_{label}" for label in LABELS]], F.lit(0).cast("bigint")
+    counts = [F.col(label) for label in LABELS]
+    of = lambda values: F.struct(*[v.alias(n) for v, n in zip(values, names)])
+    keys = _keys(F.col("gram"), lambda k: of([*counts, none, none]), lambda k: of([none, none, *counts]))
+    every = longest.select(F.explode(keys).alias("x")).select("x.key", "x.of.*")
+    return every.groupBy("key").agg(*[F.sum(name).alias(name) for name in names])
+
+
+def _ratios(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, ratio): log-probability of each n-gram's last character by the allow model less that by the block model.
+
+    A probability backs off to shorter contexts where a context is rare. Ratios are whole numbers of
+    1 / UNIT, so that sums do not depend on the order of rows.
+    """
+    place = lambda k: F.lit(k)
+    asked = grams.select("gram", F.explode(_keys(F.col("gram"), place, lambda k: F.lit(ORDER + 1 + k))).alias("x"))
+    asked = asked.select("gram", "x.key", F.col("x.of").alias("place"))
+    # texts of up to two characters are few, whatever the input, and almost every n-gram asks for them
+    short = asked.filter(F.length("key") <= 2).join(F.broadcast(counts.filter(F.length("key") <= 2)), "key")
+    long = asked.filter(F.length("key") > 2).join(counts.filter(F.length("key") > 2), "key")
+    at = lambda name, k: F.coalesce(F.sum(F.when(F.col("place") == k, F.col(name))), F.lit(0))
+    values = [at(label, k).alias(f"n_{label}_{k}") for label in LABELS for k in range(ORDER + 1)]
+    values += [at(f"after_{label}", ORDER + 1 + k).alias(f"of_{label}_{k}") for label in LABELS for k in range(ORDER + 1)]
+    found = short.unionByName(long).groupBy("gram").agg(*values)
+    logs = []
+    for label in LABELS:
+        p = F.lit(1 / ALPHABET)
+        for k in range(ORDER + 1):
+            # a context that was never seen has no count either and leaves p as it is
+            p = (F.col(f"n_{label}_{k}") + PRIOR * p) / (F.col(f"of_{label}_{k}") + PRIOR)
+        logs.append(F.log(p))
+    return found.select("gram", F.round((logs[0] - logs[1]) * UNIT).cast("bigint").alias("ratio"))
+
+
+def _scored(shapes: DataFrame, counts: DataFrame) -> DataFrame:
+    """The shapes with column score: the mean log-likelihood of allow less that of block."""
+    asked = shapes.select("_place_", F.explode(_grams(F.col("_shape_"))).alias("gram"))
+    ratios = _ratios(asked.select("gram").distinct(), counts)
+    scores = asked.join(ratios, "gram").groupBy("_place_").agg((F.sum("ratio") / F.count("*") / UNIT).alias("score"))
+    return shapes.join(scores, "_place_")
 
 
 def _threshold(held_out: DataFrame) -> float:
     """The score that separates the held-out labels best, in steps; the mean of both error rates counts."""
     step = F.round(F.least(F.lit(REACH), F.greatest(F.lit(-REACH), F.col("score"))) / STEP).cast("int").alias("step")
-    rows = held_out.groupBy("_ruled_", step).count().collect()  # at most 2 * (2 * REACH / STEP + 1) rows
+    sums = [F.sum(f"held_{label}").alias(label) for label in LABELS]
+    rows = held_out.groupBy(step).agg(*sums).collect()  # at most 2 * REACH / STEP + 1 rows
     places = int(REACH / STEP)
-    n = {label: np.zeros(2 * places + 1) for label in ("allow", "block")}
+    n = {label: np.zeros(2 * places + 1) for label in LABELS}
     for row in rows:
-        n[row._ruled_][row.step + places] = row["count"]
+        for label in LABELS:
+            n[label][row.step + places] = row[label]
     if not n["allow"].sum() or not n["block"].sum():
         return 0.0
     # allowed from a step on: what is allowed below it and blocked from it on is wrong
@@ -134,27 +140,29 @@ def _threshold(held_out: DataFrame) -> float:
 def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """The frame with host, path, rule, score (null where a rule decides) and verdict.
 
-    Columns that already have these names are replaced. What reaches the driver and the tasks is bounded: at most SHARE n-grams for each order and
-    label, and one histogram of scores.
+    Columns that already have these names are replaced. The counts of all n-grams and the distinct shapes
+    are tables in the shared folder; the driver sees two totals and one histogram of scores.
     """
     ruled = with_rules(pages.drop("score", "verdict"), rules, url).withColumn("_shape_", _shape(F.col("host"), F.col("path")))
-    fold = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))
-    labelled = ruled.filter("_ruled_ IS NOT NULL").select("_ruled_", "_shape_", fold.alias("fold"))
-    models: dict[str, dict[str, int]] = {"allow": {}, "block": {}}
-    for row in gram_counts(labelled.filter("fold > 0")).collect():
-        models[row._ruled_][row.gram] = row.n
     rest = ["host", "path", "rule"]
-    names = [c for c in pages.columns if c not in (*rest, "score", "verdict")]
-    if not models["allow"] or not models["block"]:
-        score, verdict = F.lit(None).cast("double"), F.lit("allow")
-        judged = ruled.withColumn("score", score)
+    names = [F.col(f"`{c}`") for c in pages.columns if c not in (*rest, "score", "verdict")]
+    usable = (F.col("host") != "") | (F.col("path") != "")
+    is_open = F.col("_ruled_").isNull() & usable
+    fold = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))
+    rows = [F.count_if((F.col("_ruled_") == label) & (fold > 0)).alias(label) for label in LABELS]
+    rows += [F.count_if((F.col("_ruled_") == label) & (fold == 0)).alias(f"held_{label}") for label in LABELS]
+    shapes = ruled.filter(F.col("_ruled_").isNotNull() | usable).groupBy("_shape_").agg(*rows, F.count_if(is_open).alias("open"))
+    # the place of a stored row does not change when it is read again
+    shapes = written(shapes.withColumn("_place_", F.monotonically_increasing_id()), "shapes")
+    counts = written(gram_counts(shapes), "grams")
+    totals = counts.filter("key = ''").first()
+    if totals is None or not totals.after_allow or not totals.after_block:
+        judged, verdict = ruled.withColumn("score", F.lit(None).cast("double")), F.lit("allow")
     else:
-        threshold = _threshold(_scored(labelled.filter("fold = 0").select("_ruled_", "_shape_"), models))
-        judged = _scored(ruled, models)
+        scored = written(_scored(shapes.filter("held_allow + held_block + open > 0"), counts), "scores")
+        threshold = _threshold(scored.filter("held_allow + held_block > 0"))
+        known = scored.filter("open > 0").select("_shape_", "score")
+        decided = ruled.filter(~is_open).withColumn("score", F.lit(None).cast("double"))
+        judged = ruled.filter(is_open).join(known, "_shape_").unionByName(decided)
         verdict = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    usable = (F.col("host") != "") | (F.col("path") != "")
-    return judged.select(
-        *names, *rest,
-        F.when(F.col("_ruled_").isNull() & usable, F.col("score")).alias("score"),
-        F.coalesce("_ruled_", F.when(~usable, "block"), verdict).alias("verdict"),
-    )
+    return judged.select(*names, *rest, "score", F.coalesce("_ruled_", F.when(~usable, "block"), verdict).alias("verdict"))

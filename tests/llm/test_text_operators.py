@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -176,6 +177,46 @@ def test_url_model_separates_held_out_addresses(spark):
     assert len(got) == 400 and right >= 380
 
 
+def brute_scores(counted, asked, order=5, prior=4.0):
+    """Scores by models of all n-grams of (label, shape) rows."""
+    seen, after = {}, {}
+    for label, shape in counted:
+        padded = "\x02" * order + shape + "\x03"
+        for i in range(order, len(padded)):
+            for k in range(order + 1):
+                seen[label, padded[i - k : i + 1]] = seen.get((label, padded[i - k : i + 1]), 0) + 1
+                after[label, padded[i - k : i]] = after.get((label, padded[i - k : i]), 0) + 1
+
+    def mean(label, shape):
+        padded, total = "\x02" * order + shape + "\x03", 0.0
+        for i in range(order, len(padded)):
+            p = 1 / 96
+            for k in range(order + 1):
+                if n := after.get((label, padded[i - k : i])):
+                    p = (seen.get((label, padded[i - k : i + 1]), 0) + prior * p) / (n + prior)
+            total += math.log(p)
+        return total / (len(shape) + 1)
+
+    return {shape: mean("allow", shape) - mean("block", shape) for shape in asked}
+
+
+def test_url_models_hold_every_ngram(spark):
+    r = random.Random(12)
+    name = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    hosts = [("allow", f"{name('abcde', 8)}.com", f"/{name('abcdefgh', 20)}") for _ in range(700)]
+    hosts += [("block", f"{name('efgh', 8)}.net", f"/es/{name('abcdefgh', 20)}") for _ in range(700)]
+    rest = [(None, f"{name('abcdefgh', 8)}.org", f"/{name('abcdefgh', 20)}") for _ in range(150)]
+    rows = [(i, f"http://{host}{path}", host, path) for i, (_, host, path) in enumerate(hosts + rest)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, h string, p string")
+    trained = pages.select("page_id", (F.pmod(F.xxhash64("h", "p"), F.lit(url_filter.FOLDS)) > 0).alias("counted")).collect()
+    known = [(hosts[x.page_id][0], "".join(hosts[x.page_id][1:])) for x in trained if x.counted and x.page_id < len(hosts)]
+    assert sum(len(shape) + 1 for label, shape in known if label == "allow") > 3 * 5_000
+    want = brute_scores(known, ["".join(x[1:]) for x in rest])
+    got = {x.host + x.path: x.score for x in url_filter.filter_urls(pages, RULES).filter("rule IS NULL").collect()}
+    assert got.keys() == want.keys()
+    assert max(abs(got[shape] - want[shape]) for shape in want) < 1e-6
+
+
 def test_token_files_round_trip(spark, frame, tmp_path):
     from tokenizers import Tokenizer
 
