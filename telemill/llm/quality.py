@@ -38,14 +38,15 @@ class LineRules:
         r"[!?]{2,}\P{L}*(\s|$)", r"[.,;:]{4,}", r"^[^\p{L}\p{N}]+$",
         r"([#$%&*]{3}[^#$%&*]*){3}",  # runs of symbols between the words
         r"([|»•·][^|»•·]*){4}",  # a bar of links
+        r"[cC](?i:opyright) \d{4}", r"©\s*\d{4}",  # footers with a year
     )
     boilerplate: tuple[str, ...] = (
         "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "uses cookies",
         "accept cookies", "accept all cookies", "copyright (c)", "copyright ©", "powered by", "enable javascript",
         "lorem ipsum", "subscribe to our",
     )
-    small_letter: str = r"\p{Ll}"
-    shouted: str = r"(\p{Lu}\P{L}*){20}"
+    shout_letters: int = 20
+    shout_percent: int = 70
     most_lost: float = 0.5
 
 
@@ -91,7 +92,11 @@ def _covered(ordered: Column) -> Column:
 
 def line_fails(line: Column, rules: LineRules) -> Column:
     """True for a line that a rule removes; blank lines stay."""
-    shouts = ~line.rlike(rules.small_letter) & line.rlike(rules.shouted)
+    # letters are counted only where enough capitals stand for the smallest line that shouts
+    capitals = rules.shout_letters * rules.shout_percent // 100 + 1
+    letters = F.regexp_count(line, F.lit(r"\p{L}"))
+    share = 100 * F.regexp_count(line, F.lit(r"\p{Lu}")) > rules.shout_percent * letters
+    shouts = line.rlike(rf"(\p{{Lu}}\P{{Lu}}*+){{{capitals}}}") & (letters >= rules.shout_letters) & share
     fails = line.rlike(rules.navigation) | shouts
     for pattern in rules.punctuation:
         fails = fails | line.rlike(pattern)

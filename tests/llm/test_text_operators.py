@@ -119,6 +119,21 @@ def test_quality_rejects_by_lines_and_keeps_clean_prose(spark, frame):
     assert quality.clean_documents(frame([])).count() == 0
 
 
+def test_quality_shouts_by_share_and_dated_footers(spark, frame):
+    shouts = lambda x: sum(map(str.isalpha, x)) >= 20 and 10 * sum(map(str.isupper, x)) > 7 * sum(map(str.isalpha, x))
+    lines = [
+        "BUY NOW AND VISIT OUR iSTORE TODAY", "A LONG LINE OF CAPITAL LETTERS WITH ONE x", "SHORT Line", "ABCDEFGHIJKLMNO abcdef",
+        "ABCDEFGHIJKLMNOP abcdef", "ABCDEFGHIJKLMN abcdef", "ABCDEFGHIJKLMNO abcde", "A B C D E F G H I J K L M N O p q r s t", "A-B-C-D E F G H I J K L M N p q r s t",
+        "ABCDEFGHIJKLMNOPQRST" + "日" * 30, "ABCDEFGHIJKLMNO" + "日" * 5, "Most of this line is small but NASA, ESA, JAXA, CNSA and ISRO are not.",
+    ]
+    footers = ["Copyright 2024 Example Inc.", "COPYRIGHT 1999 x", "© 2024 Example", "see ©2024 there"]
+    others = ["The copyright of 2024 is new.", "Copyright law since 1999.", "A © sign."]
+    rows = list(enumerate(lines + footers + others))
+    got = {r.doc_id: r.quality.clean_text == "" for r in quality.judged(frame(rows)).collect()}
+    assert got == {i: shouts(x) or x in footers for i, x in rows}
+    assert sum(got.values()) == 11
+
+
 def brute_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 8]
