@@ -64,8 +64,7 @@ class PieceCodec:
             if p[:i] in self.ids and p[i:] in self.ids
         }
         self.place = {pair: places[scores[k]] for pair, k in self.made.items()}
-        self.whole = len(self.id_of_byte) == 256
-        self.cache: SegmentCache[str] = SegmentCache(self.learn)
+        self.cache: SegmentCache[tuple[str, str]] = SegmentCache(self.learn)
         self.decimal = [str(i) for i in range(size)]
         # tuples of numbers, which Python's collector need not visit
         self.parts: dict[str, tuple[int, ...]] = {}
@@ -135,10 +134,13 @@ class PieceCodec:
         at = [0, *(i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.joined), len(segment)]
         return [segment[a:b] for a, b in zip(at, at[1:])]
 
-    def learn(self, segments: list[str]) -> list[str]:
-        """Ids, as text, of segments without their first mark, checked against the library in one call."""
+    def learn(self, segments: list[str]) -> list[tuple[str, str]]:
+        """Ids, as text, of segments without their first mark, and what the ids decode to inside a text.
+
+        The ids are checked against the library in one call.
+        """
         truth = self.library.encode([s.replace(MARK, " ") for s in segments], num_threads=1)
-        pieces, decimal, part_ids, out = self.pieces, self.decimal, self.part, []
+        decimal, part_ids, out = self.decimal, self.part, []
         for segment, right in zip(segments, truth):
             marked = MARK + segment
             if self.by_script and segment.isalpha():
@@ -149,9 +151,7 @@ class PieceCodec:
             if segment and ids != right:
                 self.differences += 1
                 ids = right
-            if "".join([pieces[i] for i in ids]) != marked and self.surface(ids) != marked.replace(MARK, " "):
-                self.whole = False
-            out.append(",".join([decimal[i] for i in ids]))
+            out.append((",".join([decimal[i] for i in ids]), self.surface(ids)))
         return out
 
     def part(self, text: str) -> tuple[int, ...]:
@@ -195,10 +195,15 @@ class PieceCodec:
                 cut.append([s[1:] for s in SEGMENT.findall(MARK + text.replace(" ", MARK))])
             else:
                 cut.append(text.split(" "))
-        ids = [",".join(values) for values in self.cache.look(cut)]
-        if self.whole:  # every segment so far decodes to itself
-            return ids, [" ".join(segments).replace(MARK, " ") for segments in cut]
-        return ids, [self.decode([int(i) for i in text.split(",") if i]) for text in ids]
+        ids, decoded = [], []
+        for values in self.cache.look(cut):
+            of_text = ",".join([value[0] for value in values])
+            # a segment holds whole characters, so the decoded segments joined are the decoded text
+            text = "".join([value[1] for value in values])
+            marked = of_text and self.pieces[int(of_text.split(",", 1)[0])].startswith(MARK)
+            ids.append(of_text)
+            decoded.append(text[1:] if marked else text)
+        return ids, decoded
 
 
 @lru_cache(maxsize=2)

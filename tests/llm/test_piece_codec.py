@@ -5,7 +5,7 @@ import random
 import public_tokenizers
 import sentencepiece
 
-from telemill.llm.piece_codec import decode_ids, encode_texts, ids_of
+from telemill.llm.piece_codec import PieceCodec, decode_ids, encode_texts, ids_of
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
@@ -31,3 +31,12 @@ def test_nulls_repeats_and_empty_table(spark, frame):
     assert encode_texts(frame([]), MODEL).count() == 0
     rows = encode_texts(frame([(None, None), (1, "a b"), (1, "a b")]), MODEL).collect()
     assert [(r.doc_id, r.ids, r.decoded) for r in rows] == [(None, "", ""), (1, "264,287", "a b"), (1, "264,287", "a b")]
+
+
+def test_decoded_text_comes_from_the_ids():
+    worker, text = PieceCodec(MODEL), "one two one"
+    plain = worker.encode_batch([text, "", *ODD])
+    assert plain[1] == [worker.decode([int(i) for i in ids.split(",") if i]) for ids in plain[0]]
+    worker = PieceCodec(MODEL)
+    worker.pieces = [piece.replace("two", "2") for piece in worker.pieces]
+    assert worker.encode_batch([text]) == ([plain[0][0]], ["one 2 one"])
