@@ -30,13 +30,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near duplicates.
 
-    Only the ids that go are joined; rows with a null id are not compared and stay, and of rows
-    that repeat an id one stays.
+    Only what goes is joined; rows with a null id are not compared and stay, and of rows that repeat
+    an id with the same n-grams one stays. Each text of an id with several is judged by itself.
     """
-    known = docs.filter("doc_id IS NOT NULL")
-    gone = ngram_join.ngram_join(known).filter("doc_id <> class_id").select("doc_id").distinct()
-    kept = known.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    known = docs.filter("doc_id IS NOT NULL").withColumn("_print_", ngram_join.text_print(F.col("text")))
+    found = written(ngram_join.joined(known).select("doc_id", "print", "same", "class_id"), "near-rows")
+    sets = found.groupBy("doc_id", "same").agg(F.min("print").alias("least"), F.max("print").alias("most")).filter("least <> most")
+    again = found.join(sets, ["doc_id", "same"]).filter("print <> least")
+    gone = found.filter("doc_id <> class_id").unionByName(again.select(found.columns))
+    gone = gone.select("doc_id", F.col("print").alias("_print_")).distinct()
+    kept = known.join(gone, ["doc_id", "_print_"], "left_anti").dropDuplicates(["doc_id", "_print_"])
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ row: a block gives per document the number of its links and one edge of a spanni
 
 Defined results: a null or word-free text is in a class of its own and has no link; a text with
 fewer words than n has one n-gram, the whole text. Rows that share a doc_id count as one document
-with several texts: the id gets the class of each of its rows. A row with a null doc_id is not
+with several texts: each row gets the class of its own text, and an id counts once for each set it holds. A row with a null doc_id is not
 compared (null class, no link). Other columns are ignored.
 """
 
@@ -19,7 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemill.llm.common import blocks, written
@@ -30,6 +30,11 @@ BLOCK = 256
 SEEDS = np.random.default_rng(7).integers(0, 1 << 64, (2, 4096), np.uint64)
 
 
+def text_print(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(text)
+
+
 def choose_bands(threshold: float, recall: float, rows: int = 4) -> tuple[int, int]:
     """(bands, rows): the fewest bands that make a pair at the threshold a candidate with this probability."""
     bands = 1
@@ -71,8 +76,8 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) -> I
             for i, bands_of in zip(keep, signatures([sets[i] for i in keep], bands, rows).view(np.int64)):
                 keys[i], hashes[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), bands_of
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))],
-            ["doc_id", "same", "bands"],
+            [batch.column("doc_id"), batch.column("print"), pa.array(keys, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))],
+            ["doc_id", "print", "same", "bands"],
         )
 
 
@@ -86,8 +91,8 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
 
 
 def _compare(group: pa.Table, threshold: float) -> pa.Table:
-    """Links between the documents of two blocks, or within one block, that share a band."""
-    ids = group.column("doc_id").to_numpy()
+    """Links between the nodes of two blocks, or within one block, that share a band."""
+    ids = group.column("node").to_numpy()
     copies = group.column("copies").to_numpy()
     side = group.column("block").to_numpy() == group.column("low")[0].as_py()
     within = group.column("low")[0].as_py() == group.column("high")[0].as_py()
@@ -126,7 +131,7 @@ def _compare(group: pa.Table, threshold: float) -> pa.Table:
                 root[b] = a
     hit = np.flatnonzero(links)
     return pa.table(
-        {"doc_id": pa.array(ids[hit], pa.int64()), "root": pa.array(ids[[find(i) for i in hit]], pa.int64()), "links": pa.array(links[hit], pa.int64())}
+        {"node": pa.array(ids[hit], pa.int64()), "root": pa.array(ids[[find(i) for i in hit]], pa.int64()), "links": pa.array(links[hit], pa.int64())}
     )
 
 
@@ -137,29 +142,38 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     lead to, ``n_links`` the number of other documents whose Jaccard index is at least the
     threshold. A pair at the threshold is found with probability ``recall``, others more surely.
     """
+    found = joined(docs, n, threshold, recall)
+    return found.select("doc_id", "class_id", "copy_of", "n_links")
+
+
+def joined(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999) -> DataFrame:
+    """The columns of ``ngram_join`` behind (print, same): the text's hash and the key of its n-gram set, which word-free texts lack."""
     bands, rows = choose_bands(threshold, recall)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("print", text_print(F.col("text")))
     signed = written(
-        texts.mapInArrow(partial(_sign, n=n, bands=bands, rows=rows), "doc_id bigint, same binary, bands array<bigint>"), "grams"
+        texts.mapInArrow(partial(_sign, n=n, bands=bands, rows=rows), "doc_id bigint, print bigint, same binary, bands array<bigint>"), "grams"
     )
     usable = signed.filter("doc_id IS NOT NULL AND same IS NOT NULL")
     classes = usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"))
-    reps = written(usable.join(classes, "same").filter("doc_id = rep").select("same", "rep", "copies", "bands").dropDuplicates(["same"]), "classes")
+    reps = usable.join(classes, "same").filter("doc_id = rep").select("same", "rep", "print", "copies", "bands").dropDuplicates(["same"])
+    # a set is a node, for an id may stand for several; the number of a stored row does not change when it is read again
+    reps = written(reps.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    banded = reps.select(F.col("rep"), F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    near = components(banded.join(shared, "band").select(F.col("rep").alias("u"), F.col("least").alias("v")), "near")
+    banded = reps.select("node", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    near = components(banded.join(shared, "band").select(F.col("node").alias("u"), F.col("least").alias("v")), "near")
     near = written(near, "near")
 
     parts = near.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     members = (
         near.join(parts, "component")
-        .join(reps.select("rep", "copies", "bands", "same"), F.col("node") == F.col("rep"))
-        .select(F.col("node").alias("doc_id"), "component", "parts", "copies", "bands", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("block"))
+        .join(reps, "node")
+        .select(F.col("rep").alias("doc_id"), "print", "node", "component", "parts", "copies", "bands", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("block"))
     )
-    wanted = texts.join(members, "doc_id").dropDuplicates(["doc_id"])
-    schema = "doc_id bigint, component bigint, parts int, copies bigint, bands array<bigint>, block int, grams binary"
-    filled = wanted.select("doc_id", "component", "parts", "copies", "bands", "block", "text").mapInArrow(partial(_sets, n=n), schema)
+    wanted = texts.join(members, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"])
+    schema = "node bigint, component bigint, parts int, copies bigint, bands array<bigint>, block int, grams binary"
+    filled = wanted.select("node", "component", "parts", "copies", "bands", "block", "text").mapInArrow(partial(_sets, n=n), schema)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = filled.withColumn("other", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
 
@@ -167,18 +181,20 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
         return _compare(group, threshold)
 
     blocked = dealt.drop("other", "parts").groupBy("component", "low", "high")
-    compared = blocked.applyInArrow(compare, "doc_id bigint, root bigint, links bigint")
+    compared = blocked.applyInArrow(compare, "node bigint, root bigint, links bigint")
     found = written(compared, "links")
-    linked = components(found.select(F.col("doc_id").alias("u"), F.col("root").alias("v")), "linked")
-    links = found.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("links"))
+    linked = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "linked")
+    linked = linked.join(reps.select("node", "rep"), "node")
+    linked = linked.join(linked.groupBy("component").agg(F.min("rep").alias("class")), "component").select("node", "class")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
     ranked = (
-        reps.join(links, "rep", "left")
-        .join(linked.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("same", "rep", F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.coalesce("component", "rep"))
+        reps.join(links, "node", "left")
+        .join(linked, "node", "left")
+        .select("same", "rep", F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.coalesce("class", "rep"))
         .toDF("same", "rep", "n_links", "class_id")
     )
-    return signed.select("doc_id", "same").join(ranked, "same", "left").select(
-        "doc_id",
+    return signed.select("doc_id", "print", "same").join(ranked, "same", "left").select(
+        "doc_id", "print", "same",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("copy_of"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"),

@@ -64,3 +64,19 @@ def test_empty_table_null_ids_and_repeated_rows(spark, frame):
     assert ngram_join(frame([])).count() == 0
     got = ngram_join(frame([(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f")])).collect()
     assert sorted((r.doc_id or -1, r.class_id, r.n_links) for r in got) == [(-1, None, 0), (4, 4, 0), (4, 4, 0)]
+
+
+def test_texts_that_share_an_id_keep_their_links(spark, frame):
+    words = lambda c, last: " ".join([*(f"{c}{i}" for i in range(60)), last])
+    rows = [(i, words(c, c)) for c in "abcdef" for i in (1,)] + [(10 + i, words(c, "x")) for i, c in enumerate("abcdef")]
+    got = ngram_join(frame(rows)).collect()
+    assert sorted((r.doc_id, r.class_id, r.copy_of, r.n_links) for r in got) == [(1, 1, 1, 1)] * 6 + [(10 + i, 1, 10 + i, 1) for i in range(6)]
+
+
+def test_stage_keeps_each_text_of_an_id(spark, frame):
+    from corpus_pipeline import near_duplicates
+
+    words = lambda c, last: " ".join([*(f"{c}{i}" for i in range(60)), last])
+    rows = [(0, words("a", "x")), (5, words("a", "y")), (5, words("b", "y")), (5, words("b", "y") + " "), (5, words("c", "y"))]
+    got = near_duplicates(spark, frame(rows), "").collect()
+    assert sorted((r.doc_id, r.text.strip()) for r in got) == [(0, words("a", "x")), (5, words("b", "y")), (5, words("c", "y"))]
