@@ -119,6 +119,15 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op11_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    from telemill.llm.bpe_codec import encode_texts
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 SQL["op4_line_windows"] = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS n
