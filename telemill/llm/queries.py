@@ -128,6 +128,13 @@ def op11_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from telemill.llm.conversation_repair import Repair, damage
+
+    return Repair(damage(table(spark, folder, "conversations"))).verdicts()
+
+
 SQL["op4_line_windows"] = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS n
