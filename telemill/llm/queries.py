@@ -135,6 +135,13 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return Repair(damage(table(spark, folder, "conversations"))).verdicts()
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from telemill.llm.spelling_variants import count_words, variants
+
+    return variants(count_words(table(spark, folder, "documents"), drop_every=97))
+
+
 SQL["op4_line_windows"] = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS n
