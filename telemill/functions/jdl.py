@@ -13,7 +13,7 @@ and texts with a token that the JVM prints differently from the JSON authority
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,9 +30,9 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mod
 # look like one): exponents, 9+ decimals, overflow to infinity, unicode escapes.
 _SUSPECT = r"[0-9]E-?[0-9]|[0-9]\.[0-9]{9}|Infinity|\\u"
 
-# Fixed pattern: a key name that stands twice in the objects of one value; whether it repeats
-# within one object, and which value then counts, the authority decides.
-_REPEATED = r'(?s)"((?:[^"\\]|\\.)*)"\s*:.*"\1"\s*:'
+# Fixed pattern: a whole string of a compact JSON text, with the colon if it is a key. The loops are
+# possessive: the JVM runs them without recursion and never goes back into them.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+":?+'
 
 _JDL_MAP = T.MapType(T.StringType(), T.StringType())
 _AUTHORITY_TYPE = T.StructType([T.StructField("jdl", _JDL_MAP)])
@@ -76,20 +76,33 @@ def json_object(df: DataFrame, text: str, out: str) -> DataFrame:
     return _strict(df, F.col(text), out).withColumn(out, _once(last_value_wins(F.col(out))))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def last_value_wins(entries: Column) -> Column:
-    """Resolve repeated keys of a parsed map: first position, last value."""
+    """Resolve repeated keys of a parsed map: first position, last value.
+
+    Entries are sorted by key, so the work grows with n log n however many keys a map has.
+    """
     keys = F.map_keys(entries)
 
-    def resolve() -> Column:
-        items = F.map_entries(entries)
-        distinct = F.array_distinct(keys)
-        values = F.transform(
-            distinct,
-            lambda key: F.element_at(F.filter(items, lambda item: item["key"] == key), -1)["value"],
+    def item(entry: Column, at: Column) -> Column:
+        return F.struct(entry["key"].alias("key"), at.alias("at"), entry["value"].alias("value"))
+
+    def chosen(ordered: Column) -> Column:
+        is_first = lambda x, i: F.coalesce(F.get(ordered, i - 1)["key"] != x["key"], F.lit(True))
+        is_last = lambda x, i: F.coalesce(F.get(ordered, i + 1)["key"] != x["key"], F.lit(True))
+        pairs = F.zip_with(
+            F.filter(ordered, is_first),
+            F.filter(ordered, is_last),
+            lambda first, last: F.struct(first["at"].alias("at"), last["key"].alias("key"), last["value"].alias("value")),
         )
-        return F.map_from_arrays(distinct, values)
+        return _let(F.sort_array(pairs), lambda x: F.map_from_arrays(x["key"], x["value"]))
 
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), resolve()).otherwise(entries)
+    resolved = _let(F.sort_array(F.transform(F.map_entries(entries), item)), chosen)
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), resolved).otherwise(entries)
 
 
 def _is_variant(key: Column) -> Column:
@@ -193,7 +206,16 @@ def _may_differ(value: Column) -> Column:
     # first byte: quote, minus, digit, "[" or "{"
     first = F.ascii(value)
     looks_typed = first.between(48, 57) | first.isin(34, 45, 91, 123)
-    return (looks_typed & value.rlike(_SUSPECT)) | (first.isin(91, 123) & value.rlike(_REPEATED))
+    return (looks_typed & value.rlike(_SUSPECT)) | (first.isin(91, 123) & F.contains(value, F.lit('":')) & _repeats_key(value))
+
+
+def _repeats_key(value: Column) -> Column:
+    """A key name stands twice in the objects of a value.
+
+    Whether it repeats within one object, and which value then counts, the authority decides.
+    """
+    keys = F.filter(F.regexp_extract_all(value, F.lit(_STRING), F.lit(0)), lambda text: text.endswith(":"))
+    return _let(keys, lambda names: F.size(F.array_distinct(names)) < F.size(names))
 
 
 def spellings(keys: Iterable[str]) -> dict[str, list[str]]:

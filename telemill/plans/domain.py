@@ -166,6 +166,11 @@ def jdl_text() -> Column:
     both = F.concat(
         F.lit('{"LPMPASSNAME":"a'), k, F.lit('","LPMPassName":null,"TTL":"'), job.cast("string"), F.lit('"}')
     )
+    # long strings, long lists and many keys inside values
+    wide = F.concat(
+        F.lit('{"LPMPassName":"wide","TTL":"60","Packages":["'), F.repeat(F.lit("x"), 2500), F.lit('","'), k, F.lit('"],"MetaData":{"s":"'),
+        F.repeat(F.lit("a, "), 1500), F.lit('","n":['), F.repeat(F.lit("7,"), 2000), k, F.lit("]}}"),
+    )
     case = job % 20
     return (
         F.when(case == 0, F.lit(None).cast("string"))
@@ -177,6 +182,7 @@ def jdl_text() -> Column:
         .when(case == 6, F.concat(F.lit('{"TTL":"1","TTL":"'), k, F.lit('"}')))
         .when(case.between(7, 10), escaped(clean))
         .when(case == 11, F.concat(escaped(clean), F.lit(" not valid json")))
+        .when(case == 12, wide)
         .otherwise(clean)
     )
 
@@ -193,6 +199,8 @@ SELECT event_id AS job_id, 'LPMJT_' || lpad((event_id % 15 + 1)::VARCHAR, 3, '0'
     WHEN event_id % 20 = 6 THEN '{"TTL":"1","TTL":"' || k || '"}'
     WHEN event_id % 20 BETWEEN 7 AND 10 THEN replace(replace(clean, '\\', '\\\\'), '"', '\\"')
     WHEN event_id % 20 = 11 THEN replace(replace(clean, '\\', '\\\\'), '"', '\\"') || ' not valid json'
+    WHEN event_id % 20 = 12 THEN '{"LPMPassName":"wide","TTL":"60","Packages":["' || repeat('x', 2500) || '","' || k
+      || '"],"MetaData":{"s":"' || repeat('a, ', 1500) || '","n":[' || repeat('7,', 2000) || k || ']}}'
     ELSE clean END AS full_jdl
 FROM (
   SELECT event_id, k,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
@@ -61,8 +62,8 @@ GOLDEN = [
     '{"LPMPassName":"y","lpmpassname":null}',
     '{"lpmPassName":null,"LPMPASSNAME":null}',
     '{"LPMPaßName":"sharp"}',
-    as_body('{"TTL": 72000, "Output": "QC/*.log"}'),
-    '{\\"Output\\":\\"QC\\/*.log\\"}',
+    as_body('{"TTL": 72000, "Output": "hist/run?.dat"}'),
+    '{\\"Output\\":\\"hist\\/run?.dat\\"}',
     '{\\"TTL\\": \\"3600\\", not valid json',
     '{"Comment":"a \\\\n b"}',
     None,
@@ -105,7 +106,7 @@ def test_without_the_authority_only_rare_tokens_differ(spark):
     df = spark.createDataFrame([(1, GOLDEN[0]), (2, GOLDEN[6]), (3, "{")], "job_id long, full_jdl string")
     rows = {r.job_id: r for r in decode_jdl(df, exact_tokens=False).collect()}
     assert rows[1].jdl["LPMPassName"] == "pass1"
-    assert rows[2].jdl == {"TTL": "72000", "Output": "QC/*.log"}
+    assert rows[2].jdl == {"TTL": "72000", "Output": "hist/run?.dat"}
     assert not rows[3].jdl_parse_ok and rows[3].full_jdl_raw == "{"
 
 
@@ -198,3 +199,23 @@ def test_a_condition_reaches_the_scan(spark, tmp_path):
     spark.range(20).selectExpr("id AS job_id", "'{}' AS full_jdl").write.parquet(path)
     frame = decode_jdl(spark.read.parquet(path), where=F.col("job_id") > 15)
     assert "GreaterThan(job_id,15)" in frame._jdf.queryExecution().executedPlan().toString() and frame.count() == 4
+
+
+def test_no_value_is_too_long(spark):
+    """Long strings, lists and objects inside values, repeated keys among very many: as the authority, and soon."""
+    keys = {f"k{i}": i for i in range(20_000)}
+    many, twice = json.dumps(keys), json.dumps(keys)[:-1] + ', "k7": "last"}'
+    objects = [
+        '{"InputData":["%s","y"],"TTL":"1"}' % ("x" * 1_000_000),
+        '{"InputData":["%s"]}' % ('\\\\\\"' * 200_000),
+        json.dumps({"InputData": ["a"] * 100_000, "M": {"s": "q" * 1_000_000, "t": "\\" * 100_000}}),
+        '{"M":%s}' % many,
+        '{"M":%s}' % twice,
+        many,
+        twice,
+        '{"M":[%s]}' % ",".join('{"a":"b:c"}' for _ in range(50_000)),
+        '{"M":{"a":":","b":"\\":","a":","}}',
+    ]
+    started = time.time()
+    check(spark, [*objects, as_body(objects[0])])
+    assert time.time() - started < 90
