@@ -6,7 +6,8 @@ taken from the text as it came.
 
 Defined results: a null text counts as the empty text (no words, rejected, cleaned to the empty
 text; a null stays null in ``clean_documents``); rows are independent, so repeated rows, null ids
-and further columns change nothing.
+and further columns change nothing; an empty table gives an empty table. Lines of any length are
+judged whole: patterns repeat possessively, so that they take linear time and no stack.
 """
 
 from __future__ import annotations
@@ -16,30 +17,39 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import let, text_or_empty
+from telemill.llm.common import free_name, let, text_or_empty
 
 WORDS = r"[^ \t\n\x0B\f\r]"
 BLANKS = r"[ \t\n\x0B\f\r]+"
+#: within a line: a blank, what is none, what is neither blank nor letter, and that without ! and ?
+W, NW, MARK, LONE = [r"[%s \t\x0B\f\r]" % of for of in ("", "^", r"^\p{L}", r"^\p{L}!?")]
 
 
 @dataclass(frozen=True)
 class LineRules:
-    """A line fails if it matches a pattern, holds a phrase or shouts; a document may lose ``most_lost`` of its characters.
+    """A line fails if it matches a pattern, holds a phrase, is made of marked words or of linked items, or shouts.
 
-    The patterns are applied one by one: a pattern that begins with a character class passes over a line quickly.
+    A document may lose ``most_lost`` of its characters. The patterns are applied one by one: a pattern that
+    begins with a character class passes over a line quickly. A word is marked if it holds ``marked``; a line of
+    at least three marked words fails if half of its words are. A line with at least four ``bars`` fails if
+    there are at most three words to two items, none of them like code or numbers, unless it begins and ends
+    with a bar as the row of a table does.
     """
 
     navigation: str = (
-        r"(?i)^\s*((home|menu|login|log in|sign (in|up)|register|search|next|previous|prev|back( to top)?|top|"
-        r"contact( us)?|about( us)?|faq|help|sitemap|share|tweet|print|skip to content|read more|click here)"
-        r"(\s*[|>»/·•-]+\s*|\s*$))+$"
+        rf"^{W}*+(?:(?i:home|menu|login|log in|sign (?:in|up)|register|search|next|previous|prev|back(?: to top)?|top|"
+        r"contact(?: us)?|about(?: us)?|faq|help|sitemap|share|tweet|print|skip to content|read more|click here)"
+        rf"(?:{W}*+[|>»/·•-]++{W}*+|{W}*+\z))++\z"
     )
+    #: two marks, behind which no letter stands before the next blank; sought from the beginning of each run without letters
+    emphasis: str = rf"(?<!{MARK})(?:{LONE}|[!?](?![!?]))*+[!?]{{2}}{MARK}*+(?:{W}|\z)"
     punctuation: tuple[str, ...] = (
-        r"[!?]{2,}\P{L}*(\s|$)", r"[.,;:]{4,}", r"^[^\p{L}\p{N}]+$",
-        r"([#$%&*]{3}[^#$%&*]*){3}",  # runs of symbols between the words
-        r"([|»•·][^|»•·]*){4}",  # a bar of links
-        r"[cC](?i:opyright) \d{4}", r"©\s*\d{4}",  # footers with a year
+        r"[.,;:]{4}", r"^[^\p{L}\p{N}]++\z",
+        r"[cC](?i:opyright) \d{4}", rf"©{W}*+\d{{4}}",  # footers with a year
     )
+    marked: str = r"[#$%&*]{3}"
+    bars: str = r"[|»•·]"
+    code: str = r"""[\p{N}=_/\\`"'$<>{}()\[\]~&;-]"""
     boilerplate: tuple[str, ...] = (
         "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "uses cookies",
         "accept cookies", "accept all cookies", "copyright (c)", "copyright ©", "powered by", "enable javascript",
@@ -97,9 +107,16 @@ def line_fails(line: Column, rules: LineRules) -> Column:
     letters = F.regexp_count(line, F.lit(r"\p{L}"))
     share = 100 * F.regexp_count(line, F.lit(r"\p{Lu}")) > rules.shout_percent * letters
     shouts = line.rlike(rf"(\p{{Lu}}\P{{Lu}}*+){{{capitals}}}") & (letters >= rules.shout_letters) & share
-    fails = line.rlike(rules.navigation) | shouts
+    fails = line.rlike(rules.navigation) | line.rlike(rules.emphasis) | shouts
     for pattern in rules.punctuation:
         fails = fails | line.rlike(pattern)
+    words = F.regexp_count(line, F.lit(f"{NW}++"))
+    marked = F.regexp_count(line, F.lit(f"{rules.marked}{NW}*+"))
+    fails = fails | (line.rlike(rules.marked) & (marked >= 3) & (2 * marked >= words))
+    bars = F.regexp_count(line, F.lit(rules.bars))
+    linked = F.regexp_count(line, F.lit(f"[^{rules.bars[1:-1]}{W[1:-1]}]++"))
+    row = line.rlike(rf"^{W}*+\|") & line.rlike(rf"\|{W}*+\z")
+    fails = fails | (line.rlike(rules.bars) & (bars >= 4) & (2 * linked <= 3 * (bars + 1)) & ~line.rlike(rules.code) & ~row)
     held = lambda small: F.exists(F.array(*[F.lit(p) for p in rules.boilerplate]), lambda p: F.contains(small, p))
     return line.rlike(WORDS) & (fails | let(F.lower(line), held))
 
@@ -127,8 +144,9 @@ def _verdict(quality: Column, text: Column, rules: LineRules) -> Column:
 
 def clean_documents(docs: DataFrame, rules: LineRules = LineRules(), column: str = "text") -> DataFrame:
     """The documents that pass, with the columns they came with and their failing lines removed."""
-    kept = judged(docs, rules, column, into="_quality_").filter("_quality_.kept")
-    out = kept.withColumn(column, F.when(F.col(column).isNotNull(), F.col("_quality_.clean_text")))
+    into = free_name(docs, "quality")
+    kept = judged(docs, rules, column, into=into).filter(F.col(into)["kept"])
+    out = kept.withColumn(column, F.when(F.col(column).isNotNull(), F.col(into)["clean_text"]))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(column).cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -203,7 +204,15 @@ WITH texts AS (
   SELECT *, regexp_replace(t, '[ \t\n\x0B\f\r]', '', 'g') AS bare, list_filter(l, lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS shown,
     list_filter(l, lambda x: NOT (regexp_matches(x, '[^ \t\n\x0B\f\r]') AND (
       regexp_matches(x, '@NAVIGATION@') OR @PUNCTUATION@ OR @BOILERPLATE@
-      OR (NOT regexp_matches(x, '\p{Ll}') AND regexp_matches(x, '(\p{Lu}\P{L}*){20}'))))) AS clean
+      OR regexp_matches(x, '[!?]{2}[^\p{L} \t\x0B\f\r]*([ \t\x0B\f\r]|$)')
+      OR (len(regexp_extract_all(x, '\p{L}')) >= 20
+          AND 100 * len(regexp_extract_all(x, '\p{Lu}')) > 70 * len(regexp_extract_all(x, '\p{L}')))
+      OR (len(list_filter(words_of(x), lambda w: regexp_matches(w, '[#$%&*]{3}'))) >= 3
+          AND 2 * len(list_filter(words_of(x), lambda w: regexp_matches(w, '[#$%&*]{3}'))) >= len(words_of(x)))
+      OR (len(regexp_extract_all(x, '[|»•·]')) >= 4 AND NOT regexp_matches(x, '@CODE@')
+          AND 2 * len(words_of(regexp_replace(x, '[|»•·]', ' ', 'g'))) <= 3 * (len(regexp_extract_all(x, '[|»•·]')) + 1)
+          AND NOT regexp_matches(x, '^[ \t\x0B\f\r]*\|(.*\|)?[ \t\x0B\f\r]*$'))
+    ))) AS clean
   FROM texts
 ), counted AS (
   SELECT r.doc_id, len(w)::BIGINT AS n_words, length(bare)::BIGINT AS word_chars,
@@ -219,13 +228,16 @@ FROM counted
 
 
 def _with_rules(sql: str) -> str:
+    """The rules' lists and patterns put into the SQL, whose expressions need no possessive repeats: they take linear time anyway."""
     from telemill.llm.quality import LineRules
 
     rules = LineRules()
-    punctuation = " OR ".join(f"regexp_matches(x, '{pattern}')" for pattern in rules.punctuation)
+    plain = lambda pattern: pattern.replace("*+", "*").replace("++", "+").replace("'", "''")
+    punctuation = " OR ".join(f"regexp_matches(x, '{plain(pattern)}')" for pattern in rules.punctuation)
     boilerplate = " OR ".join(f"contains(lower(x), '{phrase}')" for phrase in rules.boilerplate)
-    sql = sql.replace("@NAVIGATION@", rules.navigation).replace("@PUNCTUATION@", punctuation)
-    return sql.replace("@BOILERPLATE@", boilerplate)
+    sql = sql.replace("@NAVIGATION@", plain(rules.navigation)).replace("@PUNCTUATION@", punctuation)
+    sql = re.sub(r"words_of\(((?:[^()]|\([^()]*\))*)\)", r"regexp_extract_all(\1, '[^ \\t\\x0B\\f\\r]+')", sql)
+    return sql.replace("@BOILERPLATE@", boilerplate).replace("@CODE@", plain(rules.code))
 
 
 SQL["op5_line_quality"] = _with_rules(SQL["op5_line_quality"])
