@@ -1,38 +1,57 @@
 """Words of many texts at once, as 64-bit hashes in numpy arrays.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return, which is the same for UTF-8 bytes and for code points.
+carriage return, which is the same for UTF-8 bytes and for code points. A hash takes in a word's
+length and then its bytes, eight at a time, through a bijection of 64-bit values that is not linear
+in them, so that no words collide by their form; words of eight bytes or less collide only with
+words of another length. Memory grows with the number of words, not with the lengths of texts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-BYTES = np.random.default_rng(20240601).integers(0, 1 << 64, 256, np.uint64)
-
-
-@lru_cache(maxsize=1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE to each power below 2**bits, and to each negative power (mod 2**64)."""
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    up, down = np.full(1 << bits, BASE), np.full(1 << bits, inverse)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+#: longer words are hashed one by one, the others in blocks of so many
+LONG, BLOCK = 64, 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    out = x ^ (x >> np.uint64(30))
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(27)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(31)
+    return out
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word of the bytes; eight bytes at least stand behind every word's start."""
+    hashes = np.empty(len(starts), np.uint64)
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the eight bytes from each place on
+    for begin in range(0, len(starts), BLOCK):
+        at, sizes = starts[begin : begin + BLOCK], ends[begin : begin + BLOCK] - starts[begin : begin + BLOCK]
+        out = mix(sizes.astype(np.uint64) * BASE)
+        todo, done = np.flatnonzero(sizes <= LONG), 0
+        while len(todo):
+            left = sizes[todo] - done
+            unread = np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)
+            value = (eight[at[todo] + done] << unread) >> unread
+            out[todo] = mix((out[todo] ^ value) + BASE)
+            done += 8
+            todo = todo[left > 8]
+        for i in np.flatnonzero(sizes > LONG):
+            out[i] ^= np.uint64(xxhash.xxh64_intdigest(data[at[i] : at[i] + sizes[i]]))
+        hashes[begin : begin + BLOCK] = out
+    return hashes
 
 
 @dataclass
@@ -66,11 +85,10 @@ def words_of(column: pa.Array) -> Words:
     last = ends_of[1:][ends_of[1:] > 0] - 1
     closes[last] = inside[last]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(closes) + 1
-    up, down = _powers(max(20, (size + 1).bit_length()))
-    total = np.zeros(size + 1, np.uint64)
-    np.cumsum(BYTES[data] * up[:size], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts])
-    return Words(hashes, starts, ends, np.searchsorted(starts, ends_of), data)
+    del begins, closes, inside
+    behind = np.zeros(size + 8, np.uint8)
+    behind[:size] = data
+    return Words(_hashes(behind, starts, ends), starts, ends, np.searchsorted(starts, ends_of), data)
 
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -80,5 +98,7 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total = np.zeros(count, np.uint64)
     for i in range(size):
-        total = total * BASE + hashes[i : i + count]
+        total ^= total >> np.uint64(29)
+        total *= BASE
+        total += hashes[i : i + count]
     return mix(total)
