@@ -14,7 +14,7 @@ Defined results: a null text counts as the empty text, which has no ids; the str
 tokens in a text become their ids, as the tokenizers library does by default. Rows are independent,
 so repeated rows, null ids and further columns change nothing; columns that already have the new
 names are replaced. An empty table gives an empty table. A very long text is encoded in pieces of
-about a million characters that end at blanks.
+about four million characters that end at blanks.
 """
 
 from __future__ import annotations
@@ -31,14 +31,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import blocks, texts_of
-from telemill.llm.segment_cache import SegmentCache
+from telemill.llm.common import blocks
+from telemill.llm.segment_cache import SegmentCache, ids_of_texts
 
 NEVER, BASE = 1 << 60, -1
-KEPT_WORDS, KEPT_PAIRS, PIECE = 300_000, 1_000_000, 1 << 20
+KEPT_WORDS, KEPT_PAIRS, BLOCK = 300_000, 1_000_000, 4 << 20
 #: the end of a word; no byte is spelled as it
 END = "\n"
-BLANK = re.compile("[ \n]")
 #: stretches that normalisation only lowers, and the words of them once lowered
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
 PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
@@ -198,25 +197,9 @@ class BpeCodec:
         words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return b"".join([self.spelled(word) for word, _ in words])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        short = [text for text in texts if len(text) <= PIECE]
-        found = iter(self._pieces(short))
-        return [next(found) if len(text) <= PIECE else b"".join([i for p in _cut(text) for i in self._pieces([p])]) for text in texts]
-
-    def _pieces(self, texts: list[str]) -> list[bytes]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        return [b"".join(values) for values in self.stretches.look(cut)]
-
-
-def _cut(text: str) -> Iterator[str]:
-    """Pieces of a long text that end before a blank or line feed."""
-    at = 0
-    while at < len(text):
-        blank = BLANK.search(text, at + PIECE)
-        end = blank.start() if blank else len(text)
-        yield text[at:end]
-        at = end
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where those of each text begin and end."""
+        return ids_of_texts(self.stretches, texts)
 
 
 @lru_cache(maxsize=2)
@@ -231,10 +214,9 @@ def _joined(strings: pa.Array, ids: np.ndarray, offsets: np.ndarray) -> pa.Array
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, column: str, new: tuple[str, str, str]) -> Iterator[pa.RecordBatch]:
     worker = codec(path)
-    for batch in blocks(batches, column):
-        packed = worker.encode(texts_of(batch, column))
-        offsets = np.cumsum([0, *[len(p) // 4 for p in packed]]).astype(np.int32)
-        ids = np.frombuffer(b"".join(packed), "<i4")
+    for batch in blocks(batches, column, BLOCK):
+        ids, offsets = worker.encode(batch.column(column))
+        offsets = offsets.astype(np.int32)
         made = [pa.array(np.diff(offsets).astype(np.int64)), _joined(worker.decimal, ids, offsets), _joined(worker.surface, ids, offsets)]
         rest = [name for name in batch.schema.names if name != column]
         yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in rest), *made], [*rest, *new])

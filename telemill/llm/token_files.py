@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm.common import blocks, texts_of
-from telemill.llm.segment_cache import SegmentCache
+from telemill.llm.common import blocks
+from telemill.llm.segment_cache import SegmentCache, ids_of_texts
 
 #: a word of letters that normalisation only lowers, and the plain punctuation behind it
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*)")
-ROW_GROUP, PAGE = 16 << 20, 256 << 10
+ROW_GROUP, PAGE, BLOCK, KEPT = 16 << 20, 256 << 10, 4 << 20, 300_000
 
 
 class WordEncoder:
@@ -45,30 +45,48 @@ class WordEncoder:
         rest = [b for b in range(256) if b not in printable]
         self.letter = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
         self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size() + 1)]
-        self.words: SegmentCache[bytes] = SegmentCache(lambda words: [self._word(w) for w in words], kept=300_000)
-        self.marks: dict[str, bytes] = {}
-        self.stretches: SegmentCache[bytes] = SegmentCache(self.learn, kept=300_000)
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.stretches: SegmentCache[bytes] = SegmentCache(self.learn, kept=KEPT)
 
     def _word(self, word: str) -> bytes:
-        spelled = "".join([self.letter[b] for b in word.encode()])
-        return b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
+        spelled = word if word.isascii() else "".join([self.letter[b] for b in word.encode()])
+        ids = b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
+        if len(self.words) >= KEPT:
+            self.words.clear()
+        if len(word) <= self.stretches.long:
+            self.words[word] = ids
+        return ids
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, stretches: list[str]) -> list[bytes]:
-        matches = [SIMPLE.fullmatch(s) for s in stretches]
-        words = self.words.look([[m[1].lower() for m in matches if m]])[0]
-        if unseen := list({m[2] for m in matches if m and m[2] and m[2] not in self.marks}):
-            self.marks.update(zip(unseen, self._whole(unseen)))
-        other = iter(self._whole([s for s, m in zip(stretches, matches) if not m]))
-        word = iter(words)
-        return [(next(word) + self.marks[m[2]] if m[2] else next(word)) if m else next(other) for m in matches]
-
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, and the end id."""
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        return [b"".join(values) + end for values in self.stretches.look(cut)]
+        """Ids of stretches: a word and the marks behind it apart, all others as the library's whole encoding."""
+        marks, words, word = self.marks, self.words, self._word
+        out, other, behind = [], [], []
+        for stretch in stretches:
+            if stretch.isascii() and stretch.isalpha():
+                lower = stretch.lower()
+                out.append(words.get(lower) or word(lower))
+            elif found := SIMPLE.fullmatch(stretch):
+                lower, tail = found[1].lower(), found[2]
+                ids = words.get(lower) or word(lower)
+                if (after := marks.get(tail)) is None:
+                    behind.append((len(out), tail))
+                    after = b""
+                out.append(ids + after)
+            else:
+                other.append((len(out), stretch))
+                out.append(b"")
+        if behind:
+            marks.update(zip(tails := list({tail for _, tail in behind}), self._whole(tails)))
+            for at, tail in behind:
+                out[at] += marks[tail]
+        if other:
+            for (at, _), ids in zip(other, self._whole([stretch for _, stretch in other])):
+                out[at] = ids
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -78,17 +96,21 @@ def encoder(path: str) -> WordEncoder:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """Rows in the order they come, with their offset among the ids of this partition."""
-    worker, at, end = encoder(path), 0, np.array([end_id], "<u4").tobytes()
-    for batch in blocks(batches):
-        ids = worker.encode(texts_of(batch), end)
-        sizes = np.array([len(i) // 4 for i in ids], np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+    worker, at = encoder(path), 0
+    for batch in blocks(batches, most=BLOCK):
+        ids, bounds = ids_of_texts(worker.stretches, batch.column("text"))
+        values = np.insert(ids, bounds[1:], end_id)
+        offsets = bounds + np.arange(len(bounds))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(at + offsets[:-1].astype(np.int64)), pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), values)],
+            [
+                batch.column("doc_id"),
+                pa.array(at + offsets[:-1]),
+                pa.array(np.diff(offsets)),
+                pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, pa.int32())),
+            ],
             ["doc_id", "start_in_part", "n_tokens", "ids"],
         )
-        at += int(sizes.sum())
+        at += int(offsets[-1])
 
 
 def write_tokens(docs: DataFrame, target: str, tokenizer: str, end_id: int) -> None:

@@ -3,13 +3,16 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from telemill.llm.bpe_codec import PIECE, BpeCodec, MergeTable, decode_ids, encode_texts
+from telemill.llm.bpe_codec import BpeCodec, MergeTable, decode_ids, encode_texts
 from telemill.llm.queries import QUERIES
+from telemill.llm.segment_cache import PIECE
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 BITS = (
@@ -78,12 +81,15 @@ def test_given_documents_equal_the_library(spark, library):
     assert not got
 
 
-def test_long_texts_are_cut_at_blanks(library):
-    worker, text = BpeCodec(PATH), "Größe, one two\nthree " * 120_000
-    assert len(text) > 2 * PIECE
-    once = worker.encode(["Größe, one two\nthree "])[0]
-    assert worker.encode([text, "", "one"]) == [once * 120_000, b"", worker.encode(["one"])[0]]
-    assert worker.encode(["x" * (PIECE + 5)]) == [worker.encode(["x" * PIECE + "x" * 5])[0]]
+def test_long_texts_are_cut_at_blanks():
+    worker, part = BpeCodec(PATH), "Größe, one two\nthree "
+    times = 2 * PIECE // len(part) + 100
+    once, _ = worker.encode(pa.array([part]))
+    ids, bounds = worker.encode(pa.array([part * times, None, "one", "", "one " * 3]))
+    assert bounds.tolist() == [0, times * len(once), times * len(once), times * len(once) + 1, times * len(once) + 1, len(ids)]
+    assert np.array_equal(ids[: bounds[1]], np.tile(once, times)) and ids[bounds[1] :].tolist() == worker.encode(pa.array(["one"]))[0].tolist() * 4
+    ids, bounds = worker.encode(pa.array([], pa.string()))
+    assert len(ids) == 0 and bounds.tolist() == [0]
 
 
 def test_nulls_repeats_clashing_names_and_empty_table(spark, frame):
