@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemill.functions.jdl import OTHER
 from telemill.functions.names import PREFIX, jdl_column
 
 # --- Fixed values: the contract's column names, in contract order -----------------
@@ -80,7 +81,7 @@ class ContractTable:
 
     @property
     def known(self) -> set[str]:
-        return set(self.selected) | set(LOAD_COLUMNS) | set(HELPER_COLUMNS)
+        return set(self.selected) | set(LOAD_COLUMNS) | set(HELPER_COLUMNS) | {OTHER}
 
 
 JOB_INFO = ContractTable("job_info", {name: name for name in JOB_INFO_NAMES})

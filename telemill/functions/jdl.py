@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemill.functions.names import jdl_column
+from telemill.functions.names import PREFIX, jdl_column, snake_column
 
 CANONICAL_KEY = "LPMPassName"
 
@@ -239,3 +239,38 @@ def flatten_jdl(df: DataFrame, keys: Iterable[str], column: str = "jdl") -> Data
         for name, group in spellings(keys).items()
     ]
     return df.select(*kept, *flat)
+
+
+#: the map column that holds every JDL key without a column of its own
+OTHER = "jdl_other"
+
+
+def flatten_served(df: DataFrame, keys: Iterable[str], column: str = "jdl", other: str = OTHER) -> DataFrame:
+    """The columns of ``flatten_jdl`` for the keys given, and all other entries in one map column by their own keys.
+
+    The number of columns does not depend on the rows, however many keys they hold, and no entry is lost. An
+    unlisted spelling of a served key counts for its column, behind the listed spellings.
+    """
+    kept = [c for c in df.columns if c != column]
+    groups = spellings(keys)
+    known = [key for group in groups.values() for key in group]
+    # the name of an entry is asked for only where its spelling is not listed
+    spare = df.withColumn("_spare", _once(F.map_filter(F.col(column), lambda k, _: ~k.isin(known))))
+    named = lambda k: F.concat(F.lit(PREFIX), snake_column(k))
+    odd = F.filter(F.map_entries("_spare"), lambda e: named(e["key"]).isin(list(groups)))
+    spare = spare.withColumn("_odd", _once(F.transform(odd, lambda e: F.struct(named(e["key"]).alias("name"), e["value"].alias("value")))))
+
+    def served(name: str, group: list[str]) -> Column:
+        listed = F.coalesce(*[F.element_at(F.col(column), key) for key in group])
+        found = F.filter("_odd", lambda e: (e["name"] == name) & e["value"].isNotNull())
+        return F.when(listed.isNull() & (F.size("_odd") > 0), F.get(found, 0)["value"]).otherwise(listed).alias(name)
+
+    flat = [served(name, group) for name, group in groups.items()]
+    rest = F.when(F.size("_odd") > 0, F.map_filter("_spare", lambda k, _: ~named(k).isin(list(groups)))).otherwise(F.col("_spare"))
+    return spare.select(*kept, *flat, rest.alias(other))
+
+
+def entry_of(key: str, columns: Iterable[str], other: str = OTHER) -> Column:
+    """The value of a key in a flattened table, wherever it stands: its column, or the map from before it had one."""
+    spelled = F.try_element_at(F.col(other), F.lit(key))
+    return F.coalesce(F.col(jdl_column(key)), spelled) if jdl_column(key) in set(columns) else spelled

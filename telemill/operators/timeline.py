@@ -8,12 +8,21 @@ group as one seed row. Only that small per-bucket frame is ordered by key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemill.session import stored
+
+
+#: groups of the as-of join that may be split, and so be broadcast
+HOT_GROUPS = 10_000
+
 
 def carried_seeds(per_bucket: DataFrame, key: str, value: str) -> DataFrame:
     """For each (key, bucket): the last non-null ``value`` of the earlier buckets."""
@@ -52,7 +61,10 @@ def asof_join(
 
     Skew: probes are folded to one per (key, time), so a group holds at most
     ``bucket`` of them; a group with more than ``facts_per_group`` facts is split by a
-    hash of the fact, and only its few probes are repeated.
+    hash of the fact, and only its few probes are repeated. Which groups are that large is
+    known before any fact is shuffled: they are counted by a combined aggregate into a
+    stored table, and the large ones, of which there are at most ``HOT_GROUPS``, are broadcast.
+    The facts are shuffled once, salted.
     """
     probe = F.struct(F.col(probe_time).alias("_t"), *probe_columns)
     folded = (
@@ -73,11 +85,14 @@ def asof_join(
     marks = placed.select(
         key, "_bucket", F.lit(None).cast(probe_type).alias("_probe"), F.lit(1).alias("_n")
     ).unionByName(folded.select(key, "_bucket", "_probe", F.lit(0).alias("_n")))
-    per_bucket = marks.groupBy(key, "_bucket").agg(
-        F.max("_probe").alias("_probe"), F.sum("_n").alias("_n")
+    per_bucket = stored(
+        marks.groupBy(key, "_bucket").agg(F.max("_probe").alias("_probe"), F.sum("_n").alias("_n")), "asof-groups"
     )
-    salts = F.ceil(F.col("_n") / facts_per_group)
-    hot = per_bucket.filter(F.col("_n") > facts_per_group).select(key, "_bucket", salts.alias("_salts"))
+    # no more than HOT_GROUPS groups can hold more than one part in HOT_GROUPS of all facts
+    total = per_bucket.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    most = max(facts_per_group, -(-total // HOT_GROUPS))
+    salts = F.ceil(F.col("_n") / most)
+    hot = F.broadcast(per_bucket.filter(F.col("_n") > most).select(key, "_bucket", salts.alias("_salts")))
     seeds = carried_seeds(per_bucket.drop("_n"), key, "_probe").withColumn(
         "_at", F.lit(None).cast("bigint")
     )
@@ -134,6 +149,52 @@ def counter_increase(
     return with_delta.filter(~F.col("_seed")).select(*samples.columns, "increase")
 
 
+def _increases(batches: Iterator[pa.RecordBatch], at: str, series: str, value: str) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of one task with their increase; the first row of each series is marked, for its predecessor is not here."""
+    part = TaskContext.get().partitionId()
+    last_series: object = _NOTHING
+    last_value = None
+    for batch in batches:
+        keys, values = batch.column(series).to_pylist(), batch.column(value).to_pylist()
+        increase, begins = [], []
+        for name, now in zip(keys, values):
+            begin = name != last_series
+            step = None if begin or last_value is None or now is None else now - last_value if now >= last_value else now
+            increase.append(step)
+            begins.append(begin)
+            last_series, last_value = name, now
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(increase, batch.schema.field(value).type), pa.array(begins), pa.array([part] * len(batch), pa.int64())],
+            [*batch.schema.names, "increase", "_begins", "_part"],
+        )
+
+
+_NOTHING = object()
+
+
+def counter_increase_by_ranges(samples: DataFrame, series: str, at: str, value: str) -> DataFrame:
+    """``counter_increase`` for series of any size: a series is cut wherever the rows are, not by day.
+
+    Rows are sorted over ranges of (series, time), so one series spreads over all tasks. A task sums up what it holds
+    of a series as (first, last); the last value before a task's first sample comes from these sums alone, of
+    which there is one for each task and series, and only the marked first samples are joined with them.
+    """
+    order = [series, at, value]
+    ranged = samples.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = samples.withColumns({"increase": F.col(value), "_begins": F.lit(True), "_part": F.lit(0).cast("bigint")}).schema
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+    rows = stored(ranged.mapInArrow(partial(_increases, at=at, series=series, value=value), schema), "counter-ranges")
+    ends = rows.groupBy(series, "_part").agg(F.max_by(value, F.struct(at, value)).alias("_last"))
+    earlier = Window.partitionBy(series).orderBy("_part")
+    ends = ends.select(F.col(series).alias("_series"), F.col("_part").alias("_of"), F.lag("_last").over(earlier).alias("_before"))
+    same = F.col(series).eqNullSafe(F.col("_series")) & (F.col("_part") == F.col("_of"))
+    begun = rows.filter("_begins").join(ends, same, "left")
+    step = F.when(F.col(value) >= F.col("_before"), F.col(value) - F.col("_before")).otherwise(F.col(value))
+    begun = begun.withColumn("increase", F.when(F.col("_before").isNotNull(), step))
+    columns = [*samples.columns, "increase"]
+    return rows.filter("not _begins").select(columns).unionByName(begun.select(columns))
+
+
 def breach_runs(
     steps: DataFrame, keys: Sequence[str], at: str, breached: Column, step: int, hold: int
 ) -> DataFrame:

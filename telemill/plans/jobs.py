@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemill import contract
-from telemill.functions.jdl import decode_jdl, flatten_jdl, spellings
+from telemill.functions.jdl import OTHER, decode_jdl, flatten_served, spellings
 from telemill.functions.names import PREFIX
 from telemill.operators import retention
 from telemill.operators.drift import contract_rows, drift, drift_verdict, schema_rows
@@ -23,10 +23,12 @@ from telemill.operators.quality import (
     RETENTION_DAYS,
     VERSION_DAYS,
     freshness,
+    key_census,
     upkeep_delta,
 )
 from telemill.plans import export
 from telemill.plans.lake import Lake, expired_versions, latest_version
+from telemill.session import observed
 from telemill.sources import dumps
 from telemill.sources.cursors import CURSORS, since, start_value
 
@@ -47,23 +49,19 @@ def exit_code(verdict: DataFrame) -> int:
     return verdict.agg(F.coalesce(F.max("exit_code"), F.lit(0))).collect()[0][0]
 
 
-# ---- nightly ------------------------------------------------------------------------
-
+KEYS = "jdl_keys"
 
-def vocabulary(decoded: DataFrame) -> list[str]:
-    """Distinct JDL keys of a decoded frame. Each becomes a column, so the driver has to know their names."""
-    names = decoded.select(F.explode(F.map_keys("jdl")).alias("key")).distinct()
-    return sorted(row.key for row in names.toLocalIterator())
+# ---- nightly ------------------------------------------------------------------------
 
 
 def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str) -> DataFrame:
-    """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns."""
+    """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns, then the other keys in a map."""
     base = decoded.withColumn("full_jdl", F.lit(None).cast("string"))
-    flat = flatten_jdl(base, keys)
+    flat = flatten_served(base, keys)
     lineage = with_lineage(flat, load_id, "job_id")
     jdl = sorted(spellings(keys))
     head = ["job_id", "lpmjobtypeid", "full_jdl", "jdl_parse_ok", "full_jdl_raw"]
-    return lineage.select(*head, "_dlt_load_id", "_dlt_id", *jdl)
+    return lineage.select(*head, "_dlt_load_id", "_dlt_id", *jdl, OTHER)
 
 
 def _served_keys() -> list[str]:
@@ -76,16 +74,22 @@ def run_nightly(
     landing: Mapping[str, DataFrame],
     run_id: str,
     starts: Mapping[str, str] | None = None,
+    promoted: Iterable[str] = (),
 ) -> DataFrame:
-    """Incremental scan and merge of the three landing tables, one commit each, in order."""
+    """Incremental scan and merge of the three landing tables, one commit each, in order.
+
+    JDL keys of the contract, those in ``promoted`` and those that have a column already become columns; all others
+    go to one map column. The census of all keys of a run is appended to the table ``jdl_keys``.
+    """
     starts = starts or {}
     rows = []
     for served in SERVED:
         cursor = CURSORS[served.landing]
         start = start_value(cursor, lake.cursor(served.lake), starts.get(served.landing))
         fresh = since(landing[served.landing], cursor.column, cursor.kind, start)
+        census = None
         if served.landing == "mon_jdls":
-            fresh = _staged_jdls(lake, fresh, run_id)
+            fresh, census = _staged_jdls(lake, fresh, run_id, promoted)
         version = lake.upsert(
             served.lake,
             fresh,
@@ -93,28 +97,32 @@ def run_nightly(
             run_id=run_id,
             unique=served.landing == "mon_jdls",
         )
+        if census is not None and version is not None:
+            lake.append(KEYS, census, run_id=run_id)
         rows.append((served.lake, start, lake.cursor(served.lake), version, 0))
     return lake.spark.createDataFrame(
         rows, "table string, from_cursor string, to_cursor string, snapshot_id bigint, exit_code int"
     )
 
 
-def _staged_jdls(lake: Lake, fresh: DataFrame, run_id: str) -> DataFrame:
-    """Decode once into a written table, so the key census and the merge share the work."""
+def _staged_jdls(lake: Lake, fresh: DataFrame, run_id: str, promoted: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """Decode once into a written table, so that the merge and the key census share the work."""
     one_per_job = latest_per_key(fresh, "job_id")
     folder = f"{lake.root}/data/decoded/{run_id}"
     decode_jdl(one_per_job).write.mode("overwrite").parquet(folder)
     decoded = lake.spark.read.parquet(folder)
-    found = vocabulary(decoded)
     live = lake.read("mon_jdls_parsed").columns if lake.exists("mon_jdls_parsed") else []
     kept = [name.removeprefix(PREFIX) for name in live if name.startswith(PREFIX)]
-    return parsed_table(decoded, found + _served_keys() + kept, run_id)
+    census = key_census(decoded).withColumn("load_id", F.lit(run_id))
+    return parsed_table(decoded, [*_served_keys(), *promoted, *kept], run_id), census
 
 
 # ---- probe dumps --------------------------------------------------------------------
 
 
 DUMP_CURSOR = "epoch,last_updated"
+# tasks a core at most: a task reads several files when there are very many
+DUMP_TASKS = 16
 
 
 def dump_marks(lake: Lake, table: str) -> tuple[int, int | None]:
@@ -138,27 +146,30 @@ def run_dumps(
     """List, filter, limit, read, append; both marks are committed together with the rows.
 
     ``files`` is (epoch, url) of dumps on shared storage. With ``drop_late``, rows older
-    than the newest row of earlier runs are left out; a first run keeps all rows.
+    than the newest row of earlier runs are left out and counted as ``late``; a first run keeps all rows.
     """
     mark, newest = dump_marks(lake, table)
-    chosen = dumps.take_files(dumps.newer_than(files, mark), limit, order).collect()
-    listed, top = files.count(), mark
-    if chosen:
-        top = max(mark, *(row.epoch for row in chosen))
-        content = dumps.load_content(lake.spark, [row.url for row in chosen])
-        rows = dumps.probe_rows(dumps.dump_lines(content))
-        rows = not_late(rows, newest if drop_late else None)
+    chosen = dumps.take_files(dumps.newer_than(files, mark), limit, order)
+    # numbers only: the names of the files stay on the executors
+    found = chosen.agg(F.count("*").alias("n"), F.max("epoch").alias("top")).first()
+    listed, top, late = files.count(), max(mark, found.top or mark), 0
+    if found.n:
+        tasks = min(found.n, DUMP_TASKS * lake.spark.sparkContext.defaultParallelism)
+        rows = dumps.probe_rows(dumps.stored_lines(chosen, tasks))
         seen = Observation()
-        rows = rows.observe(seen, F.max("last_updated").alias("top"))
+        behind = F.col("last_updated") < F.lit(newest if drop_late else None).cast("bigint")
+        rows = rows.observe(seen, F.max("last_updated").alias("top"), F.count_if(behind).alias("late"))
+        rows = not_late(rows, newest if drop_late else None)
 
         def marks() -> tuple[str, str]:
-            known = [value for value in (newest, seen.get["top"]) if value is not None]
+            known = [value for value in (newest, observed(seen).get("top")) if value is not None]
             return DUMP_CURSOR, f"{top},{max(known) if known else ''}"
 
         lake.append(table, rows, cursor=marks, run_id=run_id)
+        late = observed(seen).get("late", 0)
     return lake.spark.createDataFrame(
-        [(listed, len(chosen), mark, top, 0)],
-        "listed bigint, read bigint, mark_before bigint, mark_after bigint, exit_code int",
+        [(listed, found.n, mark, top, late, 0)],
+        "listed bigint, read bigint, mark_before bigint, mark_after bigint, late bigint, exit_code int",
     )
 
 
@@ -262,6 +273,10 @@ def publish_contract(
     live = None
     for name in tables:
         rows = schema_rows(lake.read(name), name)
+        if name == "mon_jdls_parsed" and lake.exists(KEYS):
+            # keys without a column are as new as a new column
+            seen = lake.read(KEYS).select(F.lit(name).alias("table"), "column", F.lit("string").alias("type")).distinct()
+            rows = rows.unionByName(seen.join(rows, ["table", "column"], "left_anti"))
         live = rows if live is None else live.unionByName(rows)
     differences = drift(live, contract_rows(spark, tables.values()))
     verdict = drift_verdict(differences, strict)

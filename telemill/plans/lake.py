@@ -254,10 +254,10 @@ class Lake:
         chosen = watched if unique else latest_per_key(watched, key, cursor[0] if cursor else None)
         laid, width = self._layout(head)
         staged = self._write(chosen, table, key, width)
+        if not staged:  # nothing came, so nothing was observed either
+            return None
         if seen.get["null_keys"]:
             raise NullKeyError(f"{table}: {seen.get['null_keys']} row(s) without {key}")
-        if not staged:
-            return None
         mark = (cursor[1], _cursor_text(cursor[1], seen.get["top"])) if cursor else None
         parts = list(head.parts) if head else []
         # a bucket may have several folders; a table laid out by no or another key is rewritten once

@@ -736,10 +736,10 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["target"])
 
 
-def stored_dumps(given: Given, folder: str) -> DataFrame:
+def stored_dumps(given: Given, folder: str, where: str = "true") -> DataFrame:
     """(epoch, url) of the events' dump files, written to shared storage by the executors."""
     root = folder if ":" in folder else f"file://{folder}"
-    files = dump_contents(given).select(F.concat(F.lit(f"{root}/"), "path").alias("target"), "content")
+    files = dump_contents(given).filter(where).select(F.concat(F.lit(f"{root}/"), "path").alias("target"), "content")
     files.mapInArrow(_store, "target string").count()
     return dumps.dump_files(given.spark, folder)
 
@@ -770,13 +770,14 @@ def _event_stream(given: Given, files_per_batch: int = 1000) -> DataFrame:
 
 @query(f"SELECT DISTINCT hostname, last_updated FROM ({SQL['probes']})")
 def stream_distinct_probes(given: Given) -> DataFrame:
-    """Duplicates dropped within the lateness bound, as a stream over all input."""
+    """Duplicates dropped within the lateness bound, as a stream over all input; the bound is the table's own span."""
     target = scratch(given.spark, "stream")
     rows = _event_stream(given).filter("event_type = 'signup'").select(
         F.concat(F.lit("wn"), F.lpad((F.col("user_id") % 200 + 1).cast("string"), 4, "0")).alias("hostname"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("last_updated"),
     )
-    ingest.write_available(ingest.distinct_probes(rows, "60 days"), f"{target}/out", f"{target}/state")
+    lateness = ingest.whole_span(given.events, "ts")
+    ingest.write_available(ingest.distinct_probes(rows, lateness), f"{target}/out", f"{target}/state")
     return given.spark.read.parquet(f"{target}/out").select("hostname", "last_updated")
 
 
@@ -789,7 +790,7 @@ def stream_distinct_probes(given: Given) -> DataFrame:
 def stream_failure_windows(given: Given) -> DataFrame:
     """Sliding failure counts as a stream; equal to the batch rule in whatever order the files come.
 
-    The table spans a month, so the lateness does: no row of any file order is dropped.
+    The lateness is the table's own span, so no row of any file order is dropped; if one were, the query would fail.
     """
     target = scratch(given.spark, "stream")
     runs = _event_stream(given).select(
@@ -797,14 +798,13 @@ def stream_failure_windows(given: Given) -> DataFrame:
         F.when(F.col("event_type") == "error", "Failed").otherwise("Succeeded").alias("phase"),
         F.col("ts").alias("event_time"),
     )
-    counted = ingest.failure_windows(runs, F.col("phase") == "Failed", "6 hours", "1 hour", "60 days")
+    counted = ingest.failure_windows(runs, F.col("phase") == "Failed", "6 hours", "1 hour", ingest.whole_span(given.events, "ts"))
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/out/batch={batch_id}")
 
-    counted.writeStream.outputMode("update").foreachBatch(keep).option(
-        "checkpointLocation", f"{target}/state"
-    ).trigger(availableNow=True).start().awaitTermination()
+    writer = counted.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{target}/state")
+    ingest.finish(given.spark, writer.trigger(availableNow=True).start)
     latest = given.spark.read.parquet(f"{target}/out").groupBy("name", "at").agg(
         F.max_by("increase", "batch").alias("increase")
     )

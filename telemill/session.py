@@ -11,8 +11,10 @@ import tempfile
 import uuid
 import zipfile
 from pathlib import Path
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -77,6 +79,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame computed once into the shared folder and read back: its lineage is cut there."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(seen: Observation) -> dict[str, Any]:
+    """What an observation saw; nothing where no row came and the adaptive plan left the observed step out."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """All cores for a compute-heavy step over few input splits (one small file, one JDBC read).
 

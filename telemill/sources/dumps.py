@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import lzma
 from collections.abc import Iterator
+from typing import Protocol
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ from pyspark.sql import functions as F
 DUMP_LINK = r'href="([^"]*?site-sonar-(\d+)\.out\.xz)"'
 DUMP_NAME = r"site-sonar-(\d+)\.out\.xz$"
 
-_CHUNK = 1 << 22
+_CHUNK, _READ = 1 << 22, 1 << 20
+# bytes of a stream's header: less than that cannot be told from padding or trailing bytes
+_HEADER = 12
 _BATCH_BYTES = 16 << 20
 _LINES = "path string, line_no bigint, line string"
 
@@ -72,29 +76,38 @@ def take_files(files: DataFrame, limit: int | None = None, order: str = "oldest"
     return ordered.filter(F.col("epoch") >= reached if order == "newest" else F.col("epoch") <= reached)
 
 
-def _decoded(content: bytes, path: str) -> Iterator[bytes]:
-    """Decompressed chunks of one xz file, which may hold several streams."""
-    rest, first = content, True
-    while rest or first:
-        decoder, pending = lzma.LZMADecompressor(), rest
+class _Source(Protocol):
+    def read(self, size: int) -> bytes: ...
+
+
+def _decoded(source: _Source, path: str) -> Iterator[bytes]:
+    """Decompressed chunks of one xz file, which may hold several streams; reads it step by step."""
+    rest, first = b"", True
+    while True:
+        while len(rest) < _HEADER and (more := source.read(_READ)):
+            rest += more
+            rest = rest if first else rest.lstrip(b"\0")  # stream padding
+        if not rest and not first:
+            return
+        decoder, begun = lzma.LZMADecompressor(), False
         while not decoder.eof:
             try:
-                chunk = decoder.decompress(pending, max_length=_CHUNK)
+                chunk = decoder.decompress(rest, max_length=_CHUNK)
             except lzma.LZMAError:
-                if first or pending == b"":
+                if first or begun:
                     raise
                 return  # bytes after the last whole stream that start no new one
-            pending = b""
+            begun, rest = True, b""
             if chunk:
                 yield chunk
-            if decoder.needs_input and not decoder.eof:
+            if decoder.needs_input and not decoder.eof and not (rest := source.read(_READ)):
                 raise lzma.LZMAError(f"truncated dump {path}")
-        rest, first = decoder.unused_data.lstrip(b"\0"), False  # stream padding
+        rest, first = decoder.unused_data.lstrip(b"\0"), False
 
 
-def _file_lines(content: bytes, path: str) -> Iterator[tuple[int, str]]:
+def _file_lines(source: _Source, path: str) -> Iterator[tuple[int, str]]:
     number, rest = 0, b""
-    for chunk in _decoded(content, path):
+    for chunk in _decoded(source, path):
         *whole, rest = (rest + chunk).split(b"\n")
         for raw in whole:
             number += 1
@@ -103,24 +116,43 @@ def _file_lines(content: bytes, path: str) -> Iterator[tuple[int, str]]:
         yield number + 1, rest.decode("utf-8", "replace").strip()
 
 
-def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def line_batches(source: _Source, path: str) -> Iterator[pa.RecordBatch]:
+    """(path, line_no, line) of the non-blank lines of one open file, some megabytes at a time."""
     schema = pa.schema([("path", pa.string()), ("line_no", pa.int64()), ("line", pa.string())])
+    numbers: list[int] = []
+    texts: list[str] = []
+    size = 0
+    for number, text in _file_lines(source, path):
+        if not text:
+            continue
+        numbers.append(number)
+        texts.append(text)
+        size += len(text)
+        if size >= _BATCH_BYTES:
+            yield _lines_batch(path, numbers, texts, schema)
+            numbers, texts, size = [], [], 0
+    if texts:
+        yield _lines_batch(path, numbers, texts, schema)
+
+
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for item in batch.to_pylist():
-            numbers: list[int] = []
-            texts: list[str] = []
-            size = 0
-            for number, text in _file_lines(item["content"], item["path"]):
-                if not text:
-                    continue
-                numbers.append(number)
-                texts.append(text)
-                size += len(text)
-                if size >= _BATCH_BYTES:
-                    yield _lines_batch(item["path"], numbers, texts, schema)
-                    numbers, texts, size = [], [], 0
-            if texts:
-                yield _lines_batch(item["path"], numbers, texts, schema)
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            # the file's bytes stay where Arrow holds them
+            yield from line_batches(pa.BufferReader(content.as_buffer()), path.as_py())
+
+
+def open_file(url: str) -> pa.NativeFile:
+    """A stored file as a stream, wherever Arrow's file systems reach."""
+    store, place = fs.FileSystem.from_uri(url if "://" in url or url.startswith("file:") else f"file://{url}")
+    return store.open_input_stream(place, compression=None)
+
+
+def _open_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for url in batch.column("url"):
+            with open_file(url.as_py()) as source:
+                yield from line_batches(source, url.as_py())
 
 
 def _lines_batch(path: str, numbers: list[int], texts: list[str], schema: pa.Schema) -> pa.RecordBatch:
@@ -138,9 +170,12 @@ def dump_lines(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(_read_lines, _LINES)
 
 
-def load_content(spark: SparkSession, urls: list[str]) -> DataFrame:
-    """(path, content) of the chosen files, a few files per task."""
-    return spark.read.format("binaryFile").load(urls).select("path", "content")
+def stored_lines(files: DataFrame, tasks: int) -> DataFrame:
+    """(path, line_no, line) of stored dumps given as (epoch, url); their names stay on the executors.
+
+    Each task opens its files one after the other and streams them, so it holds a chunk and a batch of lines.
+    """
+    return files.select("url").repartition(tasks, "url").mapInArrow(_open_lines, _LINES)
 
 
 def probe_rows(lines: DataFrame) -> DataFrame:

@@ -5,10 +5,13 @@ Each batch form and its stream form give the same table once all input is read.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from telemill.plans.lake import Lake
 
@@ -74,21 +77,63 @@ def failure_windows(runs: DataFrame, failed: Column, span: str, step: str, laten
     return counted.select("name", F.col("w.end").alias("at"), "increase")
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that a finished query left out because they came later than its lateness allows."""
-    states = [state for progress in query.recentProgress for state in progress.stateOperators]
-    return sum(state.numRowsDroppedByWatermark for state in states)
+class LateRowsError(RuntimeError):
+    """A stream left rows out because they came later than its lateness allows."""
+
+
+class _Dropped(StreamingQueryListener):
+    """Rows that each run of a query left out as too late, over all its batches."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.batch: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self.batch[run] = event.progress.batchId
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.batch[str(event.runId)] = 1 << 62
+
 
+def finish(spark: SparkSession, start: Callable[[], StreamingQuery], allow_late: bool = False, patience_s: float = 60) -> int:
+    """Start a query, wait for its end, and give the number of rows that came too late.
 
-def write_available(stream: DataFrame, target: str, checkpoint: str, mode: str = "append") -> int:
+    All batches are counted, by a listener: a query itself remembers only the last ones. Above zero is an error
+    unless ``allow_late``.
+    """
+    dropped = _Dropped()
+    spark.streams.addListener(dropped)
+    try:
+        query = start()
+        query.awaitTermination()
+        run, waited = str(query.runId), 0.0
+        while dropped.batch.get(run, -1) < 1 << 62 and waited < patience_s:  # the end is the last event of a run
+            time.sleep(0.05)
+            waited += 0.05
+    finally:
+        spark.streams.removeListener(dropped)
+    late = dropped.rows.get(run, 0)
+    if late and not allow_late:
+        raise LateRowsError(f"{late} row(s) came later than the stream's lateness allows")
+    return late
+
+
+def whole_span(rows: DataFrame, at: str) -> str:
+    """A lateness that no row of a table exceeds, in whatever order its files come: the span of its own times."""
+    seconds = F.unix_seconds(F.col(at).cast("timestamp"))
+    span = rows.agg(F.max(seconds) - F.min(seconds)).first()[0]
+    return f"{(span or 0) + 1} seconds"
+
+
+def write_available(stream: DataFrame, target: str, checkpoint: str, mode: str = "append", allow_late: bool = False) -> int:
     """Run a stream over all input there is and stop; output as Parquet. Returns how many rows came too late."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return late_rows(query)
+    writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    return finish(stream.sparkSession, writer.outputMode(mode).trigger(availableNow=True).start, allow_late)
