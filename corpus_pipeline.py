@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemill.llm import decontaminate, line_dedup, ngram_join, piece_codec, quality
-from telemill.llm.common import table, written
+from telemill.llm.common import free_name, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of three lines that an earlier one holds; emptied documents go."""
-    out = line_dedup.dedup_lines(docs, count="_removed_").filter((F.col("_removed_") == 0) | (F.translate("text", " \t\n\x0b\x0c\r", "") != ""))
+    removed = free_name(docs, "removed")
+    out = line_dedup.dedup_lines(docs, count=removed).filter((F.col(removed) == 0) | (F.translate("text", " \t\n\x0b\x0c\r", "") != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
@@ -33,13 +34,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Only what goes is joined; rows with a null id are not compared and stay, and of rows that repeat
     an id with the same n-grams one stays. Each text of an id with several is judged by itself.
     """
-    known = docs.filter("doc_id IS NOT NULL").withColumn("_print_", ngram_join.text_print(F.col("text")))
+    mark = free_name(docs, "print")
+    known = docs.filter("doc_id IS NOT NULL").withColumn(mark, ngram_join.text_print(F.col("text")))
     found = written(ngram_join.joined(known).select("doc_id", "print", "same", "class_id"), "near-rows")
     sets = found.groupBy("doc_id", "same").agg(F.min("print").alias("least"), F.max("print").alias("most")).filter("least <> most")
     again = found.join(sets, ["doc_id", "same"]).filter("print <> least")
     gone = found.filter("doc_id <> class_id").unionByName(again.select(found.columns))
-    gone = gone.select("doc_id", F.col("print").alias("_print_")).distinct()
-    kept = known.join(gone, ["doc_id", "_print_"], "left_anti").dropDuplicates(["doc_id", "_print_"])
+    gone = gone.select("doc_id", F.col("print").alias(mark)).distinct()
+    kept = known.join(gone, ["doc_id", mark], "left_anti").dropDuplicates(["doc_id", mark])
     return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
