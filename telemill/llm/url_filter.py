@@ -2,7 +2,9 @@
 
 The rules label the addresses they fit. Two smoothed variable-order models, one of allowed and one
 of blocked addresses, are counted over all labelled rows but a fold that calibrates the threshold
-of the length-normalised log-likelihood difference. The verdict of the other addresses is the model's.
+of the length-normalised log-likelihood difference. Folds are dealt by what the models read of an address, so
+that none of the held-out ones was counted, and there each such shape counts once. The verdict of the other
+addresses is the model's.
 
 Defined results: an address that is null or has no ``://`` has an empty host and path, no rule, and
 is blocked; with no allowed or no blocked address to learn from, what no rule fits is allowed.
@@ -17,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import written
+from telemill.llm.common import free_name, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 START, END = "\x02", "\x03"
@@ -55,6 +57,11 @@ def _shape(host: Column, path: Column) -> Column:
     return F.regexp_replace(shape, r"[^\x20-\x7e]", "?")
 
 
+def fold_of(shape: Column) -> Column:
+    """The fold of all addresses of a shape; fold 0 is held out."""
+    return F.pmod(F.xxhash64(shape), F.lit(FOLDS))
+
+
 def _grams(shape: Column) -> Column:
     """Each character of a shape, and its end, behind the ORDER characters before it."""
     padded = F.concat(F.lit(START * ORDER), shape, F.lit(END))
@@ -121,7 +128,7 @@ def _scored(shapes: DataFrame, counts: DataFrame) -> DataFrame:
 def _threshold(held_out: DataFrame) -> float:
     """The score that separates the held-out labels best, in steps; the mean of both error rates counts."""
     step = F.round(F.least(F.lit(REACH), F.greatest(F.lit(-REACH), F.col("score"))) / STEP).cast("int").alias("step")
-    sums = [F.sum(f"held_{label}").alias(label) for label in LABELS]
+    sums = [F.count_if(F.col(f"held_{label}") > 0).alias(label) for label in LABELS]
     rows = held_out.groupBy(step).agg(*sums).collect()  # at most 2 * REACH / STEP + 1 rows
     places = int(REACH / STEP)
     n = {label: np.zeros(2 * places + 1) for label in LABELS}
@@ -143,12 +150,15 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFr
     Columns that already have these names are replaced. The counts of all n-grams and the distinct shapes
     are tables in the shared folder; the driver sees two totals and one histogram of scores.
     """
-    ruled = with_rules(pages.drop("score", "verdict"), rules, url).withColumn("_shape_", _shape(F.col("host"), F.col("path")))
     rest = ["host", "path", "rule"]
-    names = [F.col(f"`{c}`") for c in pages.columns if c not in (*rest, "score", "verdict")]
+    # columns named like those inside step aside until the end
+    aside = {c: free_name(pages, c) for c in pages.columns if c.lower() in ("_shape_", "_ruled_", "_place_")}
+    names = [F.col(f"`{aside.get(c, c)}`").alias(c) for c in pages.columns if c not in (*rest, "score", "verdict")]
+    pages = pages.drop("score", "verdict").withColumnsRenamed(aside)
+    ruled = with_rules(pages, rules, aside.get(url, url)).withColumn("_shape_", _shape(F.col("host"), F.col("path")))
     usable = (F.col("host") != "") | (F.col("path") != "")
     is_open = F.col("_ruled_").isNull() & usable
-    fold = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))
+    fold = fold_of(F.col("_shape_"))
     rows = [F.count_if((F.col("_ruled_") == label) & (fold > 0)).alias(label) for label in LABELS]
     rows += [F.count_if((F.col("_ruled_") == label) & (fold == 0)).alias(f"held_{label}") for label in LABELS]
     shapes = ruled.filter(F.col("_ruled_").isNotNull() | usable).groupBy("_shape_").agg(*rows, F.count_if(is_open).alias("open"))

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -223,13 +224,26 @@ def test_url_models_hold_every_ngram(spark):
     rest = [(None, f"{name('abcdefgh', 8)}.org", f"/{name('abcdefgh', 20)}") for _ in range(150)]
     rows = [(i, f"http://{host}{path}", host, path) for i, (_, host, path) in enumerate(hosts + rest)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, h string, p string")
-    trained = pages.select("page_id", (F.pmod(F.xxhash64("h", "p"), F.lit(url_filter.FOLDS)) > 0).alias("counted")).collect()
+    trained = pages.select("page_id", (url_filter.fold_of(F.concat("h", "p")) > 0).alias("counted")).collect()
     known = [(hosts[x.page_id][0], "".join(hosts[x.page_id][1:])) for x in trained if x.counted and x.page_id < len(hosts)]
+    held = [(hosts[x.page_id][0], "".join(hosts[x.page_id][1:])) for x in trained if not x.counted and x.page_id < len(hosts)]
+    assert held and not {shape for _, shape in held} & {shape for _, shape in known}
     assert sum(len(shape) + 1 for label, shape in known if label == "allow") > 3 * 5_000
     want = brute_scores(known, ["".join(x[1:]) for x in rest])
-    got = {x.host + x.path: x.score for x in url_filter.filter_urls(pages, RULES).filter("rule IS NULL").collect()}
+    judged = url_filter.filter_urls(pages.withColumns({"_shape_": F.lit("x"), "_ruled_": F.lit("y")}), RULES).filter("rule IS NULL").collect()
+    assert {(x._shape_, x._ruled_) for x in judged} == {("x", "y")}
+    got = {x.host + x.path: x.score for x in judged}
     assert got.keys() == want.keys()
     assert max(abs(got[shape] - want[shape]) for shape in want) < 1e-6
+    # the threshold: of all steps the one with the least mean of both error rates on the held-out shapes, nearest to zero
+    scores = brute_scores(known, [shape for _, shape in held])
+    n = Counter(label for label, _ in held)
+    wrong = lambda t: sum((label == "allow") != (scores[shape] >= t) and 1 / n[label] for label, shape in held)
+    steps = [(k - 0.5) * url_filter.STEP for k in range(-200, 201)]
+    least = min(map(wrong, steps))
+    best = min((t for t in steps if wrong(t) <= least + 1e-9), key=abs)
+    near = [x for x in judged if abs(x.score - best) > url_filter.STEP]
+    assert len(near) > 100 and all(x.verdict == ("allow" if x.score >= best else "block") for x in near)
 
 
 def test_token_files_round_trip(spark, frame, tmp_path):
