@@ -11,7 +11,9 @@ searched whole, and rows are independent, so repeated rows and null doc_ids are
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from telemill.llm.common import blocks, texts_of
+from telemill.llm.common import blocks, texts_of, written
 
 #: one edit for so many characters of an item
 CHARS_AN_EDIT = 20
@@ -101,10 +103,22 @@ class Searcher:
         return found
 
 
+#: the block a worker searches for at present; one is held at a time
+_HELD: dict[str, Searcher] = {}
+
+
+def searcher_of(block: str, items: list[tuple[object, str]]) -> Searcher:
+    """The automaton of a block, built once a worker."""
+    if block not in _HELD:
+        _HELD.clear()
+        _HELD[block] = Searcher(items)
+    return _HELD[block]
+
+
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
     """The items that have text, in blocks of at most BLOCK_CHARS characters (a longer item is alone).
 
-    The items are a stated query set; what the driver and a task hold of them is one block.
+    The items are a stated query set; the driver and a task hold one block of them, and the driver the next one.
     """
     items, size = [], 0
     for row in benchmark.select("item_id", F.col("text").cast("string").alias("text")).toLocalIterator():
@@ -122,15 +136,18 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, distance) of each test item that a document holds within the item's budget.
 
-    One pass over the documents for each block of items, and no shuffle.
+    One pass over the documents for each block of items, and no shuffle. Of several blocks each is searched for by
+    a job of its own that stores what it finds, so that neither the driver nor a plan ever holds two.
     """
     types = [to_arrow_type(docs.schema["doc_id"].dataType), to_arrow_type(benchmark.schema["item_id"].dataType)]
     schema = StructType([docs.schema["doc_id"], benchmark.schema["item_id"], StructField("distance", IntegerType())])
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def passed(items: list[tuple[object, str]]) -> DataFrame:
+        block = uuid.uuid4().hex
+
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(items)
+            searcher = searcher_of(block, items)
             for batch in blocks(batches):
                 at, ids, distances = [], [], []
                 for row, text in enumerate(texts_of(batch)):
@@ -145,23 +162,35 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return texts.mapInArrow(search, schema)
 
-    out = docs.sparkSession.createDataFrame([], schema)
+    waiting, found = None, []
     for items in item_blocks(benchmark):
-        out = out.unionByName(passed(items))
-    return out
+        if waiting is not None:
+            found.append(written(passed(waiting), "found-items"))
+        waiting = items
+    if waiting is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, [*found, passed(waiting)])
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no test item, judged in passes over the texts without a shuffle."""
+    """The documents that hold no test item, judged in passes over the texts without a shuffle.
+
+    What a block of items leaves is stored before the next block is looked at.
+    """
 
     def without(items: list[tuple[object, str]]):
+        block = uuid.uuid4().hex
+
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(items)
+            searcher = searcher_of(block, items)
             for batch in blocks(batches):
                 yield batch.filter(pa.array([not searcher.search(plain(text)) for text in texts_of(batch)], pa.bool_()))
 
         return drop
 
+    waiting = None
     for items in item_blocks(benchmark):
-        docs = docs.mapInArrow(without(items), docs.schema)
-    return docs
+        if waiting is not None:
+            docs = written(docs.mapInArrow(without(waiting), docs.schema), "clean-documents")
+        waiting = items
+    return docs if waiting is None else docs.mapInArrow(without(waiting), docs.schema)
