@@ -50,7 +50,7 @@ def op3_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     # a source is an owner; its documents in one language are a repository
     docs = table(spark, folder, "documents")
     found = scan_secrets(docs, F.concat_ws("/", "source", "lang"), F.col("source"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_live", "n_example")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_live", "n_example", "n_shared")
 
 
 @query

@@ -2,7 +2,9 @@
 
 Candidates are found per text: the base kinds below, and opaque tokens outside them. How many
 distinct owners and repositories hold the same candidate, by hash, tells widely copied examples
-from credentials of one owner. The method adds the opaque tokens that only one owner holds.
+from credentials of one owner: an example is held by many owners or in many repositories, a live-looking
+secret by one owner in few of them, and what is neither is shared. The method adds the opaque tokens
+that look live.
 
 Defined results: a null text counts as the empty text (no span); null owners and repositories count
 as one owner and one repository; every row gives one row, so repeated rows stay repeated.
@@ -92,11 +94,12 @@ def _spans(hits: Column) -> Column:
     return F.array_join(texts, ",")
 
 
-def scan_secrets(docs: DataFrame, repository: Column, owner: Column, example_owners: int = 3) -> DataFrame:
+def scan_secrets(docs: DataFrame, repository: Column, owner: Column, example_owners: int = 3, example_repositories: int = 5) -> DataFrame:
     """A row for each of (doc_id, text): counts, spans, and how its candidates are owned.
 
-    ``n_example`` are the hits whose secret at least ``example_owners`` owners hold, ``n_live``
-    those that one owner holds and whose characters look random. Only candidates are shuffled, as
+    ``n_example`` are the hits whose secret at least ``example_owners`` owners hold or that stands in at least
+    ``example_repositories`` repositories, ``n_live`` those that one owner holds in fewer, with characters that
+    look random, and ``n_shared`` those of several owners that are no examples. Only candidates are shuffled, as
     distinct (hash, owner, repository) and then as sums; the join of the hits with these sums is a
     plain one that can be split where one example is everywhere.
     """
@@ -111,12 +114,14 @@ def scan_secrets(docs: DataFrame, repository: Column, owner: Column, example_own
     owned = hits.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one")).groupBy("hash", "owner").agg(F.count("*").alias("repos"))
     owners = owned.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repositories"))
     judged = hits.join(owners, "hash")
-    live = (F.col("n_owners") == 1) & (F.col("hit.bits") >= LEAST_BITS)
+    example = (F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= example_repositories)
+    live = ~example & (F.col("n_owners") == 1) & (F.col("hit.bits") >= LEAST_BITS)
     stays = (F.col("hit.kind") < 3) | live
     by_row = judged.groupBy("row").agg(
         F.collect_list(F.when(stays, F.col("hit"))).alias("shown"),
         F.count_if(live).alias("n_live"),
-        F.count_if(F.col("n_owners") >= example_owners).alias("n_example"),
+        F.count_if(example).alias("n_example"),
+        F.count_if(~example & (F.col("n_owners") > 1)).alias("n_shared"),
         F.max("n_owners").alias("most_owners"),
         F.max("n_repositories").alias("most_repositories"),
     )
@@ -129,5 +134,5 @@ def scan_secrets(docs: DataFrame, repository: Column, owner: Column, example_own
         of_kind(2).alias("n_hex"),
         _spans(F.filter("hits", lambda h: h["kind"] < 3)).alias("base_spans"),
         _spans(F.coalesce("shown", nothing)).alias("spans"),
-        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_live", "n_example", "most_owners", "most_repositories")],
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_live", "n_example", "n_shared", "most_owners", "most_repositories")],
     )
