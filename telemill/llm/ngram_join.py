@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from telemill.llm.common import blocks, written
 from telemill.llm.components import components
 from telemill.llm.words import grams, mix, words_of
+from telemill.operators.membership import pruned
 
 BLOCK = 256
 SEEDS = np.random.default_rng(7).integers(0, 1 << 64, (2, 4096), np.uint64)
@@ -171,7 +172,9 @@ def joined(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float =
         .join(reps, "node")
         .select(F.col("rep").alias("doc_id"), "print", "node", "component", "parts", "copies", "bands", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("block"))
     )
-    wanted = texts.join(members, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"])
+    members = written(members, "members")
+    # texts of documents without a candidate are not shuffled, while the filter that tells them is small
+    wanted = pruned(texts, members, "doc_id").join(members, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"])
     schema = "node bigint, component bigint, parts int, copies bigint, bands array<bigint>, block int, grams binary"
     filled = wanted.select("node", "component", "parts", "copies", "bands", "block", "text").mapInArrow(partial(_sets, n=n), schema)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))

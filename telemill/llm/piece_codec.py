@@ -249,5 +249,5 @@ def ids_of(ids: str) -> Column:
 def decode_ids(frame: DataFrame, model: str, column: str = "ids", decoded: str = "decoded") -> DataFrame:
     """The frame with the decoded text of an array column of ids, in place of a column of that name; null ids give null."""
     frame = frame.drop(decoded)
-    schema = frame.withColumn(decoded, F.lit("")).schema
+    schema = frame.withColumn(decoded, F.lit(None).cast("string")).schema
     return frame.mapInArrow(partial(_decode, model=model, column=column, decoded=decoded), schema)
