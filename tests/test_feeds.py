@@ -137,7 +137,7 @@ DOCS = [
     {"os": {"n": 1}, "gpus": [{"name": "a", "fans": [1, 2], "t": {"x": True}}, {"name": None, "fans": []}], "m": [[1, 2], [3]]},
     {"gpus": "none", "m": [5, ["q"], {"z": [[["deep"]]]}], "odd key": [{"it's": [None, 1], 'a"b\'c': ["both"]}]},
     {"a": [], "b": {"c": {"d": ["x", {"e": "f"}]}}},
-    None, 3, [1, [2]], {"m": {"z": ["here"]}, "os": 4}, {"os": {"n": {"l": [1.5]}}},
+    None, 3, [1, [2]], {"m": {"y": ["here"]}, "os": 4}, {"os": {"n": {"l": [1.5]}}},
 ]
 
 
@@ -173,10 +173,11 @@ def test_no_lists_and_no_rows(spark):
 # ---- unbounded keys --------------------------------------------------------------------------------------
 
 
-def test_a_hundred_thousand_keys(spark):
-    texts = spark.range(0, 100_000, 1, 8).select("id", F.expr("""concat('{"TTL":"', id % 9, '","Own', id, '":', id, ',"cpu_cores":null,"Cpu_Cores":"4"}')""").alias("full_jdl"))
+def test_as_many_keys_as_rows(spark):
+    texts = spark.range(0, 20_000, 1, 8).select("id", F.expr("""concat('{"TTL":"', id % 9, '","Own', id, '":', id, ',"cpu_cores":null,"Cpu_Cores":"4"}')""").alias("full_jdl"))
     flat = flatten_served(decode_jdl(texts, exact_tokens=False), ["TTL", "CPUCores"])
     assert flat.columns == ["id", "jdl_parse_ok", "full_jdl_raw", "jdl__ttl", "jdl__cpu_cores", OTHER]
+    # the names of the columns are known before a row is read
     wrong = (F.size(OTHER) != 1) | (F.col("jdl__cpu_cores") != "4") | (F.col("jdl__ttl") != (F.col("id") % 9).cast("string"))
     assert flat.filter(wrong | (F.element_at(OTHER, F.concat(F.lit("Own"), "id")) != F.col("id").cast("string"))).count() == 0
 
