@@ -27,6 +27,18 @@ def test_equals_the_library(spark, frame):
     assert rows[0].asDict().keys() == {"doc_id", "lang", "source", "n_chars", "ids", "decoded", "again"}
 
 
+def test_characters_of_every_kind_equal_the_library():
+    """A difference to the library is an error, so encoding is the test; numbers that are no digits count as such."""
+    r = random.Random(5)
+    ranges = [range(0x250), range(0x300, 0x370), range(0x1E00, 0x2100), range(0x2150, 0x2190), range(0x2460, 0x2500), range(0x2580, 0x25C0), range(0x3000, 0x3100)]
+    pool = [chr(x) for part in ranges for x in part] + list("².½:①一😀‍ﬁａ\ue000\ufeff") * 20
+    texts = ["²", "x².", "½-", "a½b", "①.", "Ⅷ."] + ["".join(r.choice(pool) for _ in range(r.randint(0, 30))) for _ in range(20_000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    ids, decoded = PieceCodec(MODEL).encode_batch(texts)
+    want = library.encode(texts)
+    assert ids == [",".join(map(str, x)) for x in want] and decoded == library.decode(want)
+
+
 def test_nulls_repeats_and_empty_table(spark, frame):
     assert encode_texts(frame([]), MODEL).count() == 0
     rows = encode_texts(frame([(None, None), (1, "a b"), (1, "a b")]), MODEL).collect()
