@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemill import contract
-from telemill.functions.jdl import OTHER, decode_jdl, flatten_served, spellings
+from telemill.functions.jdl import OTHER, decode_jdl, flatten_jdl, flatten_served, spellings
 from telemill.functions.names import PREFIX
 from telemill.operators import retention
 from telemill.operators.drift import contract_rows, drift, drift_verdict, schema_rows
@@ -54,14 +54,17 @@ KEYS = "jdl_keys"
 # ---- nightly ------------------------------------------------------------------------
 
 
-def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str) -> DataFrame:
-    """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns, then the other keys in a map."""
+def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str, other: bool = True) -> DataFrame:
+    """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns, then the other keys in a map.
+
+    Without ``other`` the keys given are all there are.
+    """
     base = decoded.withColumn("full_jdl", F.lit(None).cast("string"))
-    flat = flatten_served(base, keys)
+    flat = flatten_served(base, keys) if other else flatten_jdl(base, keys)
     lineage = with_lineage(flat, load_id, "job_id")
     jdl = sorted(spellings(keys))
     head = ["job_id", "lpmjobtypeid", "full_jdl", "jdl_parse_ok", "full_jdl_raw"]
-    return lineage.select(*head, "_dlt_load_id", "_dlt_id", *jdl, OTHER)
+    return lineage.select(*head, "_dlt_load_id", "_dlt_id", *jdl, *([OTHER] if other else []))
 
 
 def _served_keys() -> list[str]:
@@ -74,12 +77,14 @@ def run_nightly(
     landing: Mapping[str, DataFrame],
     run_id: str,
     starts: Mapping[str, str] | None = None,
+    evolve: bool = True,
     promoted: Iterable[str] = (),
 ) -> DataFrame:
     """Incremental scan and merge of the three landing tables, one commit each, in order.
 
-    JDL keys of the contract, those in ``promoted`` and those that have a column already become columns; all others
-    go to one map column. The census of all keys of a run is appended to the table ``jdl_keys``.
+    With ``evolve`` every JDL key becomes a column, and the driver learns their names. Without it, for feeds whose
+    keys have no bound, keys of the contract, those in ``promoted`` and those that have a column already are
+    columns; all others go to one map column, and the census of a run's keys is appended to the table ``jdl_keys``.
     """
     starts = starts or {}
     rows = []
@@ -89,7 +94,7 @@ def run_nightly(
         fresh = since(landing[served.landing], cursor.column, cursor.kind, start)
         census = None
         if served.landing == "mon_jdls":
-            fresh, census = _staged_jdls(lake, fresh, run_id, promoted)
+            fresh, census = _staged_jdls(lake, fresh, run_id, evolve, promoted)
         version = lake.upsert(
             served.lake,
             fresh,
@@ -105,16 +110,21 @@ def run_nightly(
     )
 
 
-def _staged_jdls(lake: Lake, fresh: DataFrame, run_id: str, promoted: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+def _staged_jdls(
+    lake: Lake, fresh: DataFrame, run_id: str, evolve: bool, promoted: Iterable[str]
+) -> tuple[DataFrame, DataFrame | None]:
     """Decode once into a written table, so that the merge and the key census share the work."""
     one_per_job = latest_per_key(fresh, "job_id")
     folder = f"{lake.root}/data/decoded/{run_id}"
     decode_jdl(one_per_job).write.mode("overwrite").parquet(folder)
     decoded = lake.spark.read.parquet(folder)
     live = lake.read("mon_jdls_parsed").columns if lake.exists("mon_jdls_parsed") else []
-    kept = [name.removeprefix(PREFIX) for name in live if name.startswith(PREFIX)]
-    census = key_census(decoded).withColumn("load_id", F.lit(run_id))
-    return parsed_table(decoded, [*_served_keys(), *promoted, *kept], run_id), census
+    keys = [*_served_keys(), *promoted, *[name.removeprefix(PREFIX) for name in live if name.startswith(PREFIX)]]
+    census = key_census(decoded)
+    if evolve:
+        found = sorted(row.key for row in census.select("key").toLocalIterator())
+        return parsed_table(decoded, found + keys, run_id, other=OTHER in live), None
+    return parsed_table(decoded, keys, run_id), census.withColumn("load_id", F.lit(run_id))
 
 
 # ---- probe dumps --------------------------------------------------------------------

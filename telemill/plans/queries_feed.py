@@ -140,9 +140,9 @@ def overflow_nightly(given: Given) -> DataFrame:
     """Two nightly runs, the second with a key that became a column: its value is found where either run put it."""
     store, rows = new_lake(given, "keys"), _many_keys(given)
     landing = {"job_info": given.job_info.filter("job_id < 0"), "trace": given.trace.filter("job_id < 0")}
-    jobs.run_nightly(store, landing | {"mon_jdls": rows.filter("job_id % 2 = 0")}, "night-1")
+    jobs.run_nightly(store, landing | {"mon_jdls": rows.filter("job_id % 2 = 0")}, "night-1", evolve=False)
     late = rows.filter("job_id % 2 = 1").withColumn("job_id", F.col("job_id") + 10**9)
-    jobs.run_nightly(store, landing | {"mon_jdls": late}, "night-2", promoted=["K7"])
+    jobs.run_nightly(store, landing | {"mon_jdls": late}, "night-2", evolve=False, promoted=["K7"])
     table, keys = store.read("mon_jdls_parsed"), store.read(jobs.KEYS).agg(F.count_distinct("key")).scalar()
     return table.select(
         (F.col("job_id") % 10**9).alias("job_id"), F.col("jdl__cpu_cores").alias("cores"), entry_of("K7", table.columns).alias("k7"),

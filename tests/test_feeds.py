@@ -186,12 +186,14 @@ def test_nightly_keeps_unknown_keys_and_counts_them(spark):
     store = Lake(spark, scratch(spark, "keys"))
     rows = lambda ids: spark.createDataFrame([(i, "t", json.dumps({"TTL": "1", f"New{i}": [i]})) for i in ids], "job_id bigint, lpmjobtypeid string, full_jdl string")
     empty = {"job_info": spark.createDataFrame([], "job_id bigint, last_update timestamp_ntz"), "trace": spark.createDataFrame([], "job_id bigint, laststatuschangetimestamp bigint")}
-    jobs.run_nightly(store, empty | {"mon_jdls": rows([1, 2])}, "n1")
-    jobs.run_nightly(store, empty | {"mon_jdls": rows([3])}, "n2", promoted=["New3", "New1"])
-    jobs.run_nightly(store, empty | {"mon_jdls": rows([4])}, "n3")
+    jobs.run_nightly(store, empty | {"mon_jdls": rows([1, 2])}, "n1", evolve=False)
+    jobs.run_nightly(store, empty | {"mon_jdls": rows([3])}, "n2", evolve=False, promoted=["New3", "New1"])
+    jobs.run_nightly(store, empty | {"mon_jdls": rows([4])}, "n3", evolve=False)
     table = store.read("mon_jdls_parsed")
     got = {r.job_id: (r.a, r.b, r[OTHER]) for r in table.select("job_id", entry_of("New1", table.columns).alias("a"), entry_of("New3", table.columns).alias("b"), OTHER).collect()}
     assert got == {1: ("[1]", None, {"New1": "[1]"}), 2: (None, None, {"New2": "[2]"}), 3: (None, "[3]", {}), 4: (None, None, {"New4": "[4]"})}
+    jobs.run_nightly(store, empty | {"mon_jdls": rows([5])}, "n4")  # from now on new keys are columns
+    assert store.read("mon_jdls_parsed").filter("job_id = 5").first()["jdl__new5"] == "[5]" and store.read("mon_jdls_parsed").filter("job_id = 4").first()[OTHER] == {"New4": "[4]"}
     census = {(r.load_id, r.key): r.rows for r in store.read(jobs.KEYS).collect()}
     assert census == {("n1", "TTL"): 2, ("n1", "New1"): 1, ("n1", "New2"): 1, ("n2", "TTL"): 1, ("n2", "New3"): 1, ("n3", "TTL"): 1, ("n3", "New4"): 1}
 
