@@ -54,11 +54,8 @@ KEYS = "jdl_keys"
 # ---- nightly ------------------------------------------------------------------------
 
 
-def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str, other: bool = True) -> DataFrame:
-    """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns, then the other keys in a map.
-
-    Without ``other`` the keys given are all there are.
-    """
+def parsed_table(decoded: DataFrame, keys: Iterable[str], load_id: str, other: bool = False) -> DataFrame:
+    """The lake row of ``mon_jdls``: bookkeeping columns first, then ``jdl__*`` columns, with ``other`` then all other keys in a map."""
     base = decoded.withColumn("full_jdl", F.lit(None).cast("string"))
     flat = flatten_served(base, keys) if other else flatten_jdl(base, keys)
     lineage = with_lineage(flat, load_id, "job_id")
@@ -124,7 +121,7 @@ def _staged_jdls(
     if evolve:
         found = sorted(row.key for row in census.select("key").toLocalIterator())
         return parsed_table(decoded, found + keys, run_id, other=OTHER in live), None
-    return parsed_table(decoded, keys, run_id), census.withColumn("load_id", F.lit(run_id))
+    return parsed_table(decoded, keys, run_id, other=True), census.withColumn("load_id", F.lit(run_id))
 
 
 # ---- probe dumps --------------------------------------------------------------------
