@@ -48,6 +48,8 @@ def balanced_ranges(keys: DataFrame, key: str, ranges: int, split_hot: bool = Fa
     bounds = keys.agg(F.percentile_approx(key, steps, ranges * FINE).alias("b")).first().b if steps else []
     if not bounds:
         return [KeyRange(None, None)]
+    # a whole number is an int whatever the key's type: as text, a large decimal may show as a float
+    bounds = [int(bound) if bound == int(bound) else bound for bound in bounds]
     # a bound that repeats is a key that fills that many ranges and more
     repeats = {bound: bounds.count(bound) for bound in bounds}
     cuts = sorted({cut for bound, n in repeats.items() for cut in ((bound, bound + 1) if n > 1 else (bound,))})

@@ -222,6 +222,18 @@ def test_a_hot_key_is_split_by_another_column(spark):
     assert ranges.balanced_ranges(keys.filter("false"), "job_id", 4) == [ranges.KeyRange(None, None)]
 
 
+def test_ranges_of_keys_beyond_bigint(spark, tmp_path):
+    """Cubes of keys of the sixtyfold table: no overflow, each row in one range, whole numbers in the conditions."""
+    from telemill.plans.domain import Given
+    from telemill.plans.queries_feed import RANGES, _skewed, extraction_ranges
+
+    spark.range(0, 9_000_000, 900).selectExpr("id AS o_orderkey", "id AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    given = Given(spark, str(tmp_path))
+    assert extraction_ranges(given).collect() == [(RANGES, 10_000, True, True)]
+    found = ranges.balanced_ranges(_skewed(given), "job_id", 4)
+    assert len(found) == 4 and all(isinstance(r.hi, int) for r in found[:-1]) and found[-1].lo > 2**63
+
+
 # ---- digests of ranges ----------------------------------------------------------------------------------
 
 
