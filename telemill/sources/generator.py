@@ -94,22 +94,27 @@ def jdl_keys() -> list[str]:
     return sorted({*JDL_KEYS, *EXTRA_JDL, "TTL", "Packages", PASS_KEY} - set(UNSERVED_KEYS))
 
 
-def jdl_text(job: Column, all_keys: bool = True) -> Column:
+def jdl_number(job: Column) -> Column:
+    return drawn("jdl", job, 1_000_000)
+
+
+def jdl_text(job: Column, all_keys: bool = True, number: Column | None = None) -> Column:
     """A whole JDL. The packages are a list; every other value is text made of its key and a drawn number.
 
-    About half of the ids spell the pass-name key in its legacy case.
+    About half of the ids spell the pass-name key in its legacy case. ``number`` is the drawn number where a column
+    holds it already, as every key of a row needs it.
     """
     keys = jdl_keys() if all_keys else ["TTL", "Packages", PASS_KEY]
     pairs: list[Column] = []
-    number = drawn("jdl", job, 1_000_000)
+    number = jdl_number(job) if number is None else number
+    # no map is built: only the numbers and the spelling of one key differ between rows
     for place, key in enumerate(keys):
         if key == "Packages":
             continue
         name = F.when(drawn("spelling", job, 2) == 0, PASS_KEY).otherwise(LEGACY_KEY) if key == PASS_KEY else F.lit(key)
-        pairs += [name, F.concat(F.lit(f"{key[:3]} "), (number + place).cast("string"))]
+        pairs += [F.lit(',"' if pairs else '{"'), name, F.lit(f'":"{key[:3]} '), (number + place).cast("string"), F.lit('"')]
     packages = F.to_json(F.transform(F.sequence(F.lit(0), drawn("packages", job, 3)), lambda i: F.concat(F.lit("pkg@"), i.cast("string"))))
-    rest = F.to_json(F.create_map(*pairs))
-    return F.concat(F.substring(rest, 1, F.length(rest) - 1), F.lit(',"Packages":'), packages, F.lit("}"))
+    return F.concat(*pairs, F.lit(',"Packages":'), packages, F.lit("}"))
 
 
 def oddness(job: Column) -> Column:
@@ -120,7 +125,10 @@ def oddness(job: Column) -> Column:
 def mon_jdls_rows(ids: DataFrame, all_keys: bool = True) -> DataFrame:
     """``mon_jdls`` rows; of ODD_IN ids about one is cut short and one has a stray tail."""
     job = F.col("job_id")
-    whole = jdl_text(job, all_keys=all_keys)
+    # columns of their own, so that both are computed once a row
+    ids = ids.select("job_id", jdl_number(job).alias("_number"))
+    ids = ids.withColumn("_whole", jdl_text(job, all_keys, F.col("_number")))
+    whole = F.col("_whole")
     text = (
         F.when(oddness(job) == 0, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
         .when(oddness(job) == 1, F.concat(whole, F.lit(" ;; tail")))
