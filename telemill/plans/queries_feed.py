@@ -11,7 +11,7 @@ from telemill.plans import jobs
 from telemill.plans.domain import Given, ctes
 from telemill.plans.queries_lake import new_lake, stored_dumps
 from telemill.plans.registry import query
-from telemill.session import scratch, ship
+from telemill.session import scratch, ship, spread
 from telemill.sources import dump_feed, nested, ranges
 from telemill.streaming import ingest
 
@@ -66,7 +66,7 @@ def _results(given: Given) -> DataFrame:
         )
     )
     mixed = F.when(event % 2 == 0, F.lit(',"mixed":"none"}')).otherwise(F.concat(F.lit(',"mixed":["'), "event_type", F.lit('"]}')))
-    texts = given.events.select("event_id", doc.alias("doc"), mixed.alias("mixed"))
+    texts = spread(given.events, "event_id").select("event_id", doc.alias("doc"), mixed.alias("mixed"))
     return texts.select("event_id", F.parse_json(F.concat(F.expr("left(doc, length(doc) - 1)"), "mixed")).alias("v"))
 
 
@@ -113,7 +113,8 @@ def _many_keys(given: Given) -> DataFrame:
         F.lit('{"TTL":"'), (F.col("event_id") % 5).cast("string"), F.lit('","Cpu_Cores":'), F.col("user_id").cast("string"),
         F.lit(',"Own'), event, F.lit('":"'), F.col("event_type"), F.lit('","K'), (F.col("event_id") % 100).cast("string"), F.lit('":['), event, F.lit("]}"),
     )
-    return given.events.select(F.col("event_id").alias("job_id"), F.lit("t").alias("lpmjobtypeid"), text.alias("full_jdl"))
+    rows = spread(given.events, "event_id")
+    return rows.select(F.col("event_id").alias("job_id"), F.lit("t").alias("lpmjobtypeid"), text.alias("full_jdl"))
 
 
 @query(

@@ -50,3 +50,15 @@ def test_generated_jdls_use_all_cores(spark, tmp_path):
     spark.range(400).select(F.col("id").alias("o_orderkey")).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
     found = generated_jdls(Given(spark, str(tmp_path)))
     assert len(held(found)) == 8 and found.filter("jdl_parse_ok").select("keys").distinct().count() == 1
+
+
+def test_feeds_of_one_file_use_all_cores(spark, tmp_path):
+    """Nested lists and JDLs of many keys are made and read by several tasks, each row once."""
+    from telemill.plans.queries_feed import _many_keys, _results
+
+    rows = spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("user_id"), F.lit("view").alias("event_type"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    given = Given(spark, str(tmp_path))
+    for made in (_results(given), _many_keys(given)):
+        sizes = held(made)
+        assert len(sizes) == 8 and sum(sizes) == 400
