@@ -62,3 +62,18 @@ def test_feeds_of_one_file_use_all_cores(spark, tmp_path):
     for made in (_results(given), _many_keys(given)):
         sizes = held(made)
         assert len(sizes) == 8 and sum(sizes) == 400
+
+
+def test_unlisted_spellings_are_looked_up_once_a_row(spark):
+    """The work on spellings does not grow with the served keys; the first value that is not null counts."""
+    from telemill.functions.jdl import flatten_served
+
+    rows = spark.createDataFrame([(1, {"ttl": None, "Ttl": "7"})], "job_id int, jdl map<string,string>")
+
+    def lambdas(keys):
+        # the last projection holds the columns: without a function over the spellings for each of them
+        top = flatten_served(rows, keys)._jdf.queryExecution().analyzed().toString().splitlines()[0]
+        return top.count("lambdafunction")
+
+    assert lambdas(["TTL", *(f"K{n}" for n in range(10))]) <= 1
+    assert flatten_served(rows, ["TTL", "K1"]).select("jdl__ttl", "jdl__k1").collect() == [("7", None)]
