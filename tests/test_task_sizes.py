@@ -77,3 +77,19 @@ def test_unlisted_spellings_are_looked_up_once_a_row(spark):
 
     assert lambdas(["TTL", *(f"K{n}" for n in range(10))]) <= 1
     assert flatten_served(rows, ["TTL", "K1"]).select("jdl__ttl", "jdl__k1").collect() == [("7", None)]
+
+
+def test_refused_texts_cost_the_reader_nothing(spark):
+    """What cannot be an object or a literal stays out of the reader, and a value without the letter of a pattern out of the regex."""
+    from telemill.functions.jdl import _OBJECT, decode_jdl, decode_with_json_module
+
+    texts = [' \t{"a":1}', "{ }", "{\n}", '{"a":"E1.5"}', '{"a":[1.5E7]}', '{"a":0.0001}', '{"a":"b"', '{"a":1} x', '[{"a":1}]', "42", '"{}"', "", "{", '\\u007b\\"a\\":1}', '{\\"a\\":\\"b\\"}',
+             '{\\"a\\":1} x', '{\\\\"a\\\\":1}', ' {\\"a\\":{\\"k\\":1,\\"k\\":2}}', '{"a":1e999}', '{"a":1.1234567891}', '{"a":"x\\\\"}', "{'a':1}", '{a:1}', ' {"a":1}', '{"a":[{"k":1},{"k":2}]}', '{"a":NaN}']
+    rows = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "job_id int, full_jdl string")
+    decoded = decode_jdl(rows)
+    found = {r.job_id: (r.jdl, r.full_jdl_raw) for r in decoded.collect()}
+    for i, text in enumerate(texts):
+        value = decode_with_json_module(text)
+        assert found[i] == (value, None if value is not None else text), text
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f", {_OBJECT})") == 2 and "Contains(" in plan
