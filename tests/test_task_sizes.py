@@ -93,3 +93,53 @@ def test_refused_texts_cost_the_reader_nothing(spark):
         assert found[i] == (value, None if value is not None else text), text
     plan = decoded._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(f", {_OBJECT})") == 2 and "Contains(" in plan
+
+
+def test_only_texts_that_may_be_objects_go_to_the_authority(spark):
+    """The authority sees no text that it must refuse by its first or last characters; the others go past it without their text."""
+    from telemill.functions.jdl import _may_be_object, decode_jdl, decode_with_json_module
+
+    body = '{"a":"b","n":{"k":1,"k":2}}'
+    escaped = body.replace('"', '\\"')
+    ends = ["", " ", "\\n", "\\t\\r", "\\u000A \\u0020", "\\u000d\\u0009", "\n", "\\\\n", "\\u00a0", " x", "\u2028", "]"]
+    texts = [text + end for text in (body, escaped, escaped[:-1] + "\\u007D", escaped[:-1] + "\\u007d") for end in ends]
+    texts += [start + text for text in (body, escaped, "\\u007b" + escaped[1:], "\\u007B" + escaped[1:]) for start in (" ", "\\n", "\\u0020", "\t", "\ufeff", "\x85", '"', "[")]
+    texts += ["", "{", "}", "42", f"[{body}]", body[:-2], f'"{escaped}"', '{"a":NaN}', '{"a":1e999}\n', "null", " { } "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "job_id int, full_jdl string")
+    asked = {r.job_id for r in rows.filter(_may_be_object(F.col("full_jdl"))).collect()}
+    found = {r.job_id: (r.jdl, r.full_jdl_raw) for r in decode_jdl(rows).collect()}
+    for i, text in enumerate(texts):
+        value = decode_with_json_module(text)
+        assert found[i] == (value, None if value is not None else text), text
+        assert value is None or i in asked, text
+    assert not asked & {i for i, text in enumerate(texts) if text in ("", "{", "}", "42", f"[{body}]", body[:-2], body + " x", escaped + " x")}
+    plan = decode_jdl(rows)._jdf.queryExecution().optimizedPlan().toString().split("ArrowEvalPython", 1)[1]
+    assert "full_jdl#" not in plan.split("Project [", 1)[1].split(", CASE", 1)[0]
+
+
+def test_columns_that_no_row_fills_are_in_the_schema_and_in_no_file(spark, tmp_path):
+    """A nightly run writes the columns of the keys it met; all others are null, also over an earlier value."""
+    from telemill import contract
+    from telemill.functions.names import jdl_column
+    from telemill.plans import jobs
+    from telemill.plans.lake import Lake
+
+    lake = Lake(spark, f"{tmp_path}/lake")
+    jobs_in = spark.createDataFrame([], "job_id long, last_update timestamp_ntz")
+    trace = spark.createDataFrame([], "job_id long, laststatuschangetimestamp long")
+
+    def night(run, *texts):
+        rows = spark.createDataFrame([(i + 1, "t", text) for i, text in enumerate(texts)], "job_id long, lpmjobtypeid string, full_jdl string")
+        jobs.run_nightly(lake, {"job_info": jobs_in, "trace": trace, "mon_jdls": rows}, run, {"mon_jdls": "0"})
+        head = lake.head("mon_jdls_parsed")
+        written = {name for part in head.parts for name in spark.read.parquet(f"{lake.root}/{part.path}").columns}
+        return lake.read("mon_jdls_parsed"), written
+
+    table, written = night("one", '{"TTL":"1","New":"x"}', '{"TTL":"2"}')
+    assert {name for name in written if name.startswith("jdl__")} == {"jdl__ttl", "jdl__new"}
+    served = {jdl_column(key) for key in contract.JDL_KEYS if key not in contract.UNSERVED_KEYS}
+    assert served <= set(table.columns) and table.columns[7:] == sorted(table.columns[7:])
+    assert table.select("job_id", "jdl__ttl", "jdl__new", "jdl__cpu_cores").orderBy("job_id").collect() == [(1, "1", "x", None), (2, "2", None, None)]
+    # the second row comes again, without the key it had
+    table, _ = night("two", '{"TTL":"3"}', '{"CPUCores":"4"}')
+    assert table.select("job_id", "jdl__ttl", "jdl__new", "jdl__cpu_cores").orderBy("job_id").collect() == [(1, "1", "x", None), (2, None, None, "4")]
